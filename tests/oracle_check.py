@@ -20,13 +20,13 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def norm(v):
+def norm(v, sig=None):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return float(f"{v:.{sig}g}") if sig else v
     if hasattr(v, "isoformat"):
         return str(v)[:10] if type(v).__name__ == "date" else str(v)
     return v
@@ -90,7 +90,10 @@ def main() -> int:
             a, b = sorted(rows, key=key), sorted(drows2, key=key)
             bad = [(x, y) for x, y in zip(a, b) if x != y]
             if bad:
-                status, detail = "value_mismatch", f"{len(bad)} rows differ, e.g. spark={bad[0][0]} sql={bad[0][1]}"
+                approx = lambda rs: sorted([tuple(norm(v, 9) for v in r) for r in rs], key=key)
+                near = approx(rows) == approx(drows2)
+                status = "approx_match" if near else "value_mismatch"
+                detail = f"{len(bad)} rows differ, e.g. spark={bad[0][0]} sql={bad[0][1]}"
         summary[name] = {"status": status, "rows": len(rows), "sec": round(st, 2), "detail": detail}
         print(f"{name:28s} {status:18s} rows={len(rows)}  {st:.2f}s  {detail[:400]}")
     counts = {}
