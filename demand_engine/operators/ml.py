@@ -63,9 +63,27 @@ def standard_scale(train: DataFrame, df: DataFrame, cols: Sequence[str] = LINEAR
     return df.select(*keep, *out)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+ROWS_PER_PARTITION = 1_000_000
+
+
+def training_frame(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> tuple[DataFrame, int]:
+    """Materialise model inputs once in the shared checkpoint folder.
+
+    Iterative fitting then re-reads files instead of re-running the feature
+    plan, and a lost executor recomputes from the checkpoint. Surplus
+    partitions are merged (``coalesce``: no shuffle) down to one per core, or
+    to about ``rows_per_partition`` rows each when the data is larger than
+    that: every fitting pass is a job over all partitions, so empty or tiny
+    tasks cost time, while fewer partitions than cores would idle them.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    data = df.checkpoint(eager=True)
+    n = data.count()
+    want = max(spark.sparkContext.defaultParallelism, -(-n // rows_per_partition))
+    if want < data.rdd.getNumPartitions():
+        data = data.coalesce(want)
+    return data, n
 
 
 # ---------------------------------------------------------------------------
@@ -113,8 +131,10 @@ class RidgeForecaster:
         self.target = target
 
     def fit(self, train: DataFrame) -> RidgeModel:
-        data = select_linear_features(train, self.features, keep=[self.target]) \
+        data, _ = training_frame(
+            select_linear_features(train, self.features, keep=[self.target])
             .select(feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target))
+        )
         stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("sd"),
                          F.avg(self.target).alias("mu")).first()
         n, sd, mu = stats["n"], stats["sd"], stats["mu"]
@@ -200,7 +220,7 @@ class BoostedTreesForecaster:
         p = self.params
         cols = available_tree_features(train, self.features)
         flagged = validation_flag(train, p.validation_fraction, p.validation_mode)
-        data = _checkpointed(flagged.select(
+        data, _ = training_frame(flagged.select(
             feature_vector(cols).alias(VEC), F.col(self.target).cast("double").alias(self.target), "is_validation",
         ))
         fit_rows = data.filter(~F.col("is_validation"))
