@@ -44,10 +44,17 @@ def holdout_rows(df: DataFrame, cutoff, date_col: str = "Date") -> DataFrame:
 
 
 def train_holdout_split(
-    df: DataFrame, holdout_weeks: int = HOLDOUT_WEEKS, date_col: str = "Date"
+    df: DataFrame, holdout_weeks: int = HOLDOUT_WEEKS, date_col: str = "Date", cutoff=None
 ) -> tuple[DataFrame, DataFrame]:
-    """Dates before the cutoff train, the rest hold out; incomplete rows drop."""
-    cutoff = cutoff_date(df, holdout_weeks, date_col).scalar()
+    """Dates before the cutoff train, the rest hold out; incomplete rows drop.
+
+    ``cutoff`` may be given (a date or Column); by default it is the
+    k-th distinct date from the end, as a scalar subquery.
+    """
+    if cutoff is None:
+        cutoff = cutoff_date(df, holdout_weeks, date_col).scalar()
+    elif not isinstance(cutoff, F.Column):
+        cutoff = F.lit(cutoff)
     return (
         drop_incomplete(train_rows(df, cutoff, date_col)),
         drop_incomplete(holdout_rows(df, cutoff, date_col)),
@@ -70,16 +77,24 @@ def validation_flag(
     ``tail_rows``: exactly the last ``max(1, int(fraction * n))`` rows in
     (group, date, ...) order -- i.e. the highest group keys, as a
     positional tail of a store-sorted table would be.
-    Neither mode sorts the whole table or uses a one-task window.
+    Neither mode sorts the whole table. ``chronological`` windows over the
+    per-date counts (one row per week); ``tail_rows`` needs a running sum
+    over per-store counts, which grow with the data, so it uses the
+    range-bucketed suffix sum of ``prefix.suffix_sum``.
     """
-    n_val = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("long"))
-    need = train.agg(n_val.alias("n_val")).scalar()
     if mode == "chronological":
+        # One row per distinct date: bounded by the calendar, not by the data,
+        # so an unpartitioned window over it is small at any scale.
         per_date = train.groupBy(date_col).agg(F.count(F.lit(1)).alias("_c"))
-        per_date = suffix_sum(per_date, date_col, "_c", "_after")
-        boundary = per_date.filter((F.col("_after") < need) & (F.col("_after") + F.col("_c") >= need)) \
+        later = Window.orderBy(F.desc(date_col)).rowsBetween(Window.unboundedPreceding, -1)
+        need = F.greatest(F.lit(1), F.floor(F.sum("_c").over(Window.partitionBy()) * F.lit(float(fraction))).cast("long"))
+        cum = per_date.select(date_col, "_c", F.coalesce(F.sum("_c").over(later), F.lit(0)).alias("_after"),
+                              need.alias("_need"))
+        boundary = cum.filter((F.col("_after") < F.col("_need")) & (F.col("_after") + F.col("_c") >= F.col("_need"))) \
             .agg(F.max(date_col)).scalar()
         return train.withColumn(out_col, F.coalesce(F.col(date_col) >= boundary, F.lit(False)))
+    n_val = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(float(fraction))).cast("long"))
+    need = train.agg(n_val.alias("n_val")).scalar()
     if mode == "tail_rows":
         per_group = train.groupBy(group_col).agg(F.count(F.lit(1)).alias("_c"))
         offsets = suffix_sum(per_group, group_col, "_c", "_after").select(group_col, "_after")

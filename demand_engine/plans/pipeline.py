@@ -89,24 +89,34 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def run_pipeline(sales: DataFrame, stores: DataFrame, cfg: PipelineConfig | None = None,
                  checkpoint: bool = True) -> dict[str, DataFrame]:
+    """Every output of a run, as DataFrames.
+
+    With ``checkpoint`` (the default) the shared intermediate tables are
+    written once to the checkpoint folder: the store-week and feature
+    tables, the scored holdout, the ranked metrics and the plan. Each is
+    read by several outputs, which then cost one scan instead of re-running
+    their whole lineage. The cutoff is resolved once as a one-row value, so
+    the split filters are plain literals that reach the scan.
+    """
     cfg = cfg or PipelineConfig()
-    store_weekly = build_store_weekly(sales, stores, cfg.target)
-    if checkpoint:
-        store_weekly = materialize(store_weekly)
-    features = prepare_features(store_weekly)
-    if checkpoint:
-        features = materialize(features)
+    keep = materialize if checkpoint else (lambda df: df)
+    store_weekly = keep(build_store_weekly(sales, stores, cfg.target))
+    features = keep(prepare_features(store_weekly))
     cut = cutoff_info(features, cfg.holdout_weeks)
-    train, holdout = train_holdout_split(features, cfg.holdout_weeks)
+    if checkpoint:
+        row = cut.first()  # one row: the cutoff and the date before it
+        cut = features.sparkSession.createDataFrame([row], cut.schema)
+        train, holdout = train_holdout_split(features, cfg.holdout_weeks, cutoff=row["cutoff_date"])
+    else:
+        train, holdout = train_holdout_split(features, cfg.holdout_weeks)
 
     models = fit_models(train, cfg)
-    scored = score_holdout(holdout, models, cfg.target)
-    metrics = evaluate_models(scored, model_columns(models))
-    ranked = compare_models(metrics)
+    scored = keep(score_holdout(holdout, models, cfg.target))
+    ranked = keep(compare_models(evaluate_models(scored, model_columns(models))))
     forecasts = with_best_prediction(scored, ranked, models)
 
     stats = compute_demand_stats(train, "Store", cfg.target)
-    plan = build_inventory_plan(stats, forecasts, cfg.inventory)
+    plan = keep(build_inventory_plan(stats, forecasts, cfg.inventory))
     out = {
         "store_weekly": store_weekly,
         "features": features,
