@@ -150,16 +150,23 @@ class RidgeForecaster:
 # Gradient-boosted trees
 # ---------------------------------------------------------------------------
 
-def best_iteration(losses: Sequence[float], patience: int) -> int:
-    """Number of trees to keep: the best validation loss seen before
-    ``patience`` rounds pass without improvement."""
+def early_stop(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(trees to keep, whether the patience rule fired within ``losses``).
+
+    Keeps the best validation loss seen before ``patience`` rounds pass
+    without improvement.
+    """
     best_i, best = 0, float("inf")
     for i, loss in enumerate(losses):
         if loss < best:
             best_i, best = i, loss
         elif i - best_i >= patience:
-            break
-    return best_i + 1
+            return best_i + 1, True
+    return best_i + 1, False
+
+
+def best_iteration(losses: Sequence[float], patience: int) -> int:
+    return early_stop(losses, patience)[0]
 
 
 @dataclass
@@ -217,6 +224,14 @@ class BoostedTreesForecaster:
         )
 
     def fit(self, train: DataFrame) -> TreesModel:
+        """Fit in growing chunks of rounds until the patience rule fires (or
+        the round cap is reached), then refit the best prefix.
+
+        With a fixed seed a fit of k rounds is an exact prefix of a longer
+        fit, so this gives the same model as fitting the full cap, while
+        only fitting about ``patience`` rounds past the best one (at most
+        about twice that when the best round comes late).
+        """
         p = self.params
         cols = available_tree_features(train, self.features)
         flagged = validation_flag(train, p.validation_fraction, p.validation_mode)
@@ -225,9 +240,14 @@ class BoostedTreesForecaster:
         ))
         fit_rows = data.filter(~F.col("is_validation"))
         val_rows = data.filter(F.col("is_validation"))
-        model = self._estimator(p.max_iter).fit(fit_rows)
-        losses = [float(x) for x in model.evaluateEachIteration(val_rows, "squared")]
-        keep = best_iteration(losses, p.early_stopping_rounds) if losses else p.max_iter
-        if keep < p.max_iter:
+        rounds = min(p.max_iter, p.early_stopping_rounds + 16)
+        while True:
+            model = self._estimator(rounds).fit(fit_rows)
+            losses = [float(x) for x in model.evaluateEachIteration(val_rows, "squared")]
+            keep, stopped = early_stop(losses, p.early_stopping_rounds) if losses else (rounds, False)
+            if stopped or rounds >= p.max_iter:
+                break
+            rounds = min(p.max_iter, 2 * rounds)
+        if keep < rounds:
             model = self._estimator(keep).fit(fit_rows)
         return TreesModel(cols, model, keep, losses, self.name)

@@ -31,8 +31,9 @@ from ..sources.sinks import write_table
 from .pipeline import BASELINE_MODELS, PipelineConfig, model_columns, run_pipeline, score_holdout, with_best_prediction
 from .report import executive_summary, report_lines
 
-# Trees in registered queries: 50 rounds (the library default is 500; see README).
-QUERY_TREE_ROUNDS = 50
+# Trees in registered queries: the library defaults (up to 500 rounds,
+# early stopping after 50 rounds without gain).
+QUERY_TREE_ROUNDS = TreeParams().max_iter
 
 CAL_COLS = ["year", "month", "week_of_year", "quarter", "is_month_end", "trend"]
 TRIG_COLS = ["week_sin", "week_cos", "month_sin", "month_cos"]

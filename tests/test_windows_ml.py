@@ -119,3 +119,46 @@ def test_trees_learn_signal_and_are_deterministic(spark):
     assert mse < p1["Weekly_Sales"].var() * 0.5
     imp = dict(m1.feature_importances())
     assert set(imp) == {"sales_lag_1", "Store"} and abs(sum(imp.values()) - 1) < 1e-9
+
+
+def _signal_panel(spark, stores=12, weeks=30, seed=4):
+    rng = np.random.default_rng(seed)
+    base = dt.date(2020, 1, 6)
+    rows = []
+    for s in range(stores):
+        for t in range(weeks):
+            x = float(rng.normal())
+            rows.append((s, base + dt.timedelta(weeks=t), False, "A", 10, 1000.0 + 200 * x + float(rng.normal(0, 50)), x))
+    return spark.createDataFrame(rows, "Store long, Date date, IsHoliday boolean, Type string, Size long, "
+                                       "Weekly_Sales double, sales_lag_1 double")
+
+
+def test_shorter_fit_is_exact_prefix(spark):
+    df = _signal_panel(spark)
+    f = BoostedTreesForecaster(TreeParams(max_iter=8, step_size=0.3, min_instances_per_node=5),
+                               features=["sales_lag_1", "Store"])
+    from demand_engine.operators.ml import VEC, feature_vector
+    data = df.select(feature_vector(["sales_lag_1", "Store"]).alias(VEC), "Weekly_Sales")
+    short, long_ = f._estimator(4).fit(data), f._estimator(8).fit(data)
+    def body(t):  # the first line carries the model uid
+        return t.toDebugString.split("\n", 1)[1]
+
+    assert [body(t) for t in short.trees] == [body(t) for t in long_.trees[:4]]
+    assert list(short.treeWeights) == list(long_.treeWeights[:4])
+
+
+def test_chunked_early_stopping_equals_full_fit(spark):
+    from demand_engine.operators.ml import VEC, early_stop, feature_vector
+
+    df = _signal_panel(spark)
+    params = TreeParams(max_iter=40, step_size=0.5, min_instances_per_node=5, early_stopping_rounds=3,
+                        validation_fraction=0.2)
+    feats = ["sales_lag_1", "Store"]
+    chunked = BoostedTreesForecaster(params, features=feats).fit(df)
+    # Brute force: fit the whole cap once and apply the patience rule.
+    f = BoostedTreesForecaster(params, features=feats)
+    flagged = validation_flag(df, params.validation_fraction, params.validation_mode)
+    data = flagged.select(feature_vector(feats).alias(VEC), "Weekly_Sales", "is_validation")
+    full = f._estimator(params.max_iter).fit(data.filter(~F.col("is_validation")))
+    losses = full.evaluateEachIteration(data.filter(F.col("is_validation")), "squared")
+    assert chunked.n_trees == early_stop(losses, params.early_stopping_rounds)[0]
