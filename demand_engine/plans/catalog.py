@@ -28,7 +28,15 @@ from ..operators.clean import build_store_weekly, clean_sales, drop_incomplete,
 from ..session import shared_path
 from ..sources import tables
 from ..sources.sinks import write_table
-from .pipeline import BASELINE_MODELS, PipelineConfig, model_columns, run_pipeline, score_holdout, with_best_prediction
+from .pipeline import (
+    BASELINE_MODELS,
+    PipelineConfig,
+    materialize,
+    model_columns,
+    run_pipeline,
+    score_holdout,
+    with_best_prediction,
+)
 from .report import executive_summary, report_lines
 
 # Trees in registered queries: the library defaults (up to 500 rounds,
@@ -75,15 +83,21 @@ class Ctx:
 
     @cached_property
     def features(self) -> DataFrame:
-        return fe.prepare_features(self.store_weekly)
+        """Written once to the shared checkpoint folder: the queries below
+        read it several times (cutoff, train, holdout, models)."""
+        return materialize(fe.prepare_features(self.store_weekly))
+
+    @cached_property
+    def cutoff_row(self):
+        return sp.cutoff_info(self.features).first()  # one row
 
     @cached_property
     def cutoff(self) -> DataFrame:
-        return sp.cutoff_info(self.features)
+        return self.spark.createDataFrame([self.cutoff_row], "cutoff_date date, last_train_date date")
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return sp.train_holdout_split(self.features)
+        return sp.train_holdout_split(self.features, cutoff=self.cutoff_row["cutoff_date"])
 
     @property
     def train(self) -> DataFrame:
@@ -99,7 +113,7 @@ class Ctx:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return score_holdout(self.holdout, self.baseline_models)
+        return materialize(score_holdout(self.holdout, self.baseline_models))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -107,7 +121,7 @@ class Ctx:
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return ev.compare_models(self.metrics)
+        return materialize(ev.compare_models(self.metrics))
 
     @cached_property
     def forecasts(self) -> DataFrame:
@@ -209,16 +223,16 @@ def store_weekly(c: Ctx) -> DataFrame:
 
 
 def drop_incomplete_q(c: Ctx) -> DataFrame:
-    return rounded(drop_incomplete(c.features), feature_rounding())
+    return rounded(drop_incomplete(fe.prepare_features(c.store_weekly)), feature_rounding())
 
 
 def train_rows(c: Ctx) -> DataFrame:
-    cut = c.cutoff.select("cutoff_date").scalar()
+    cut = F.lit(c.cutoff_row["cutoff_date"])
     return rounded(sp.train_rows(c.features, cut).select("Store", "Date", "Weekly_Sales"), {"Weekly_Sales": 2})
 
 
 def holdout_rows(c: Ctx) -> DataFrame:
-    cut = c.cutoff.select("cutoff_date").scalar()
+    cut = F.lit(c.cutoff_row["cutoff_date"])
     return rounded(sp.holdout_rows(c.features, cut).select("Store", "Date", "Weekly_Sales"), {"Weekly_Sales": 2})
 
 
@@ -259,11 +273,11 @@ def rolling_features(c: Ctx) -> DataFrame:
 
 
 def prepare_features(c: Ctx) -> DataFrame:
-    return rounded(c.features, feature_rounding())
+    return rounded(fe.prepare_features(c.store_weekly), feature_rounding())
 
 
 def cutoff_date(c: Ctx) -> DataFrame:
-    return c.cutoff
+    return sp.cutoff_info(fe.prepare_features(c.store_weekly))
 
 
 def train_holdout_split(c: Ctx) -> DataFrame:
