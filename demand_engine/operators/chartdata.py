@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import clip_lower, safe_div
-from .common import attach_scalars
+from .common import attach_scalars, broadcast_if_small
 
 MILLION = 1e6
 
@@ -192,8 +192,10 @@ def sales_distribution_by_type(store_weekly: DataFrame, exact: bool = False, acc
         "_lo": F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1")),
         "_hi": F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1")),
     })
-    # One row per type; AQE sees its real size and broadcasts it.
-    joined = store_weekly.select("Type", v.alias("_v")).join(quart.select("Type", "_lo", "_hi"), "Type")
+    # One row per type, broadcast after a size check: a shuffle join keyed by
+    # type would send a type holding a third of all rows to a single task.
+    fences = broadcast_if_small(quart.select("Type", "_lo", "_hi"))
+    joined = store_weekly.select("Type", v.alias("_v")).join(fences, "Type")
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     spans = joined.groupBy("Type").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
@@ -211,7 +213,7 @@ def sales_outliers_by_type(store_weekly: DataFrame, exact: bool = False, accurac
     v = in_millions(value_col)
     return (
         store_weekly.select("Store", "Date", "Type", v.alias("sales_musd"))
-        .join(box.select("Type", "whisker_lo", "whisker_hi"), "Type")
+        .join(broadcast_if_small(box.select("Type", "whisker_lo", "whisker_hi")), "Type")
         .filter((F.col("sales_musd") < F.col("whisker_lo")) | (F.col("sales_musd") > F.col("whisker_hi")))
         .drop("whisker_lo", "whisker_hi")
     )
