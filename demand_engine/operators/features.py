@@ -103,5 +103,30 @@ def add_lag_features(
 
 
 def prepare_features(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Calendar, store and lag features on the whole store-week table."""
-    return add_lag_features(add_store_features(add_time_features(df), strict=strict))
+    """Calendar, store and lag features on the whole store-week table.
+
+    The three global scalars (first date, size mean and std) come from one
+    one-row aggregate attached once, so ``df`` is read twice: once for the
+    scalars and once for the rows. Materialise ``df`` first when it is
+    expensive to recompute (the pipeline does).
+    """
+    scalars = df.agg(F.min("Date").alias("_first_date"),
+                     F.avg("Size").alias("size_mean"), F.stddev_samp("Size").alias("size_std"))
+    d = F.col("Date")
+    out = attach_scalars(df, scalars).withColumns({
+        "year": cal.year(d),
+        "month": cal.month(d),
+        "week_of_year": cal.iso_week(d),
+        "quarter": cal.quarter(d),
+        "is_month_end": cal.is_month_end(d),
+    })
+    out = out.withColumns({
+        "week_sin": cal.cyclic_sin("week_of_year", 52),
+        "week_cos": cal.cyclic_cos("week_of_year", 52),
+        "month_sin": cal.cyclic_sin("month", 12),
+        "month_cos": cal.cyclic_cos("month", 12),
+        "trend": cal.whole_weeks_since(d, F.col("_first_date")),
+        "type_code": type_code("Type", strict),
+        "size_norm": safe_div(F.col("Size") - F.col("size_mean"), F.col("size_std")),
+    }).drop("_first_date", "size_mean", "size_std")
+    return add_lag_features(out)

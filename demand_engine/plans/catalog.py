@@ -81,11 +81,17 @@ class Ctx:
     def store_weekly(self) -> DataFrame:
         return build_store_weekly(self.sales, self.stores)
 
+    @cached_property
+    def store_weekly_m(self) -> DataFrame:
+        """The store-week table written once to the shared checkpoint folder,
+        so queries that read it more than once scan the raw tables once."""
+        return materialize(self.store_weekly)
+
     @cached_property
     def features(self) -> DataFrame:
         """Written once to the shared checkpoint folder: the queries below
         read it several times (cutoff, train, holdout, models)."""
-        return materialize(fe.prepare_features(self.store_weekly))
+        return materialize(fe.prepare_features(self.store_weekly_m))
 
     @cached_property
     def cutoff_row(self):
@@ -223,7 +229,7 @@ def store_weekly(c: Ctx) -> DataFrame:
 
 
 def drop_incomplete_q(c: Ctx) -> DataFrame:
-    return rounded(drop_incomplete(fe.prepare_features(c.store_weekly)), feature_rounding())
+    return rounded(drop_incomplete(fe.prepare_features(c.store_weekly_m)), feature_rounding())
 
 
 def train_rows(c: Ctx) -> DataFrame:
@@ -253,12 +259,12 @@ def size_moments(c: Ctx) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def time_features(c: Ctx) -> DataFrame:
-    df = fe.add_time_features(c.store_weekly)
+    df = fe.add_time_features(c.store_weekly_m)
     return rounded(df.select("Store", "Date", *CAL_COLS, *TRIG_COLS), {k: 6 for k in TRIG_COLS})
 
 
 def store_features(c: Ctx) -> DataFrame:
-    df = fe.add_store_features(c.store_weekly)
+    df = fe.add_store_features(c.store_weekly_m)
     return rounded(df.select("Store", "Date", "Type", "type_code", "size_norm"), {"size_norm": 6})
 
 
@@ -273,11 +279,11 @@ def rolling_features(c: Ctx) -> DataFrame:
 
 
 def prepare_features(c: Ctx) -> DataFrame:
-    return rounded(fe.prepare_features(c.store_weekly), feature_rounding())
+    return rounded(fe.prepare_features(c.store_weekly_m), feature_rounding())
 
 
 def cutoff_date(c: Ctx) -> DataFrame:
-    return sp.cutoff_info(fe.prepare_features(c.store_weekly))
+    return sp.cutoff_info(c.store_weekly)
 
 
 def train_holdout_split(c: Ctx) -> DataFrame:
@@ -410,16 +416,17 @@ def first_store_per_type(c: Ctx) -> DataFrame:
 
 
 def store_subset(c: Ctx) -> DataFrame:
-    ids = charts.first_store_per_type(c.store_weekly).select("Store")
-    return rounded(charts.store_subset(c.store_weekly, ids), {"Weekly_Sales": 2})
+    sw = c.store_weekly_m
+    ids = charts.first_store_per_type(sw).select("Store")
+    return rounded(charts.store_subset(sw, ids), {"Weekly_Sales": 2})
 
 
 def holiday_dates(c: Ctx) -> DataFrame:
-    return charts.holiday_bands(c.store_weekly)
+    return charts.holiday_bands(c.store_weekly_m)
 
 
 def demand_trend_data(c: Ctx) -> DataFrame:
-    return rounded(charts.demand_trend_data(c.store_weekly), {"sales_musd": 8})
+    return rounded(charts.demand_trend_data(c.store_weekly_m), {"sales_musd": 8})
 
 
 def actual_by_date(c: Ctx) -> DataFrame:
@@ -460,7 +467,7 @@ def residual_histogram(c: Ctx) -> DataFrame:
 
 
 def sales_distribution_by_type(c: Ctx) -> DataFrame:
-    return charts.sales_distribution_by_type(c.store_weekly)
+    return charts.sales_distribution_by_type(c.store_weekly_m)
 
 
 # ---------------------------------------------------------------------------
