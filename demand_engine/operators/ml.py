@@ -224,13 +224,13 @@ class BoostedTreesForecaster:
         )
 
     def fit(self, train: DataFrame) -> TreesModel:
-        """Fit in growing chunks of rounds until the patience rule fires (or
-        the round cap is reached), then refit the best prefix.
+        """Fit a first chunk of ``patience + 16`` rounds; if the patience rule
+        has not fired by then, fit the full cap. Then refit the best prefix.
 
         With a fixed seed a fit of k rounds is an exact prefix of a longer
-        fit, so this gives the same model as fitting the full cap, while
-        only fitting about ``patience`` rounds past the best one (at most
-        about twice that when the best round comes late).
+        fit, so this gives the same model as fitting the full cap. When the
+        best round comes early (as on weak signals) only the first chunk is
+        paid; otherwise the cost is the cap plus that chunk.
         """
         p = self.params
         cols = available_tree_features(train, self.features)
@@ -247,7 +247,7 @@ class BoostedTreesForecaster:
             keep, stopped = early_stop(losses, p.early_stopping_rounds) if losses else (rounds, False)
             if stopped or rounds >= p.max_iter:
                 break
-            rounds = min(p.max_iter, 2 * rounds)
+            rounds = p.max_iter
         if keep < rounds:
             model = self._estimator(keep).fit(fit_rows)
         return TreesModel(cols, model, keep, losses, self.name)
