@@ -63,27 +63,34 @@ def standard_scale(train: DataFrame, df: DataFrame, cols: Sequence[str] = LINEAR
     return df.select(*keep, *out)
 
 
-ROWS_PER_PARTITION = 1_000_000
+ROW_KEYS = ("Store", "Date", "IsHoliday", "Type", "Size")
 
 
-def training_frame(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> tuple[DataFrame, int]:
+def training_frame(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Materialise model inputs once in the shared checkpoint folder.
 
     Iterative fitting then re-reads files instead of re-running the feature
-    plan, and a lost executor recomputes from the checkpoint. Surplus
-    partitions are merged (``coalesce``: no shuffle) down to one per core, or
-    to about ``rows_per_partition`` rows each when the data is larger than
-    that: every fitting pass is a job over all partitions, so empty or tiny
-    tasks cost time, while fewer partitions than cores would idle them.
+    plan, and a lost executor recomputes from the checkpoint.
+
+    With ``keys`` the rows get a canonical layout first: hash-partitioned on
+    the first key into one partition per core and sorted by all keys inside
+    each partition (the keys are then dropped). Spark's tree learner samples
+    split candidates per partition, so this makes the fitted model depend
+    only on the data and the core count, not on how upstream stages happened
+    to partition it. A store holds one row per week, so no partition is hot.
+    Without keys, too few partitions (AQE packs small tables tightly) are
+    spread out so that fitting uses every core.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    cores = spark.sparkContext.defaultParallelism
+    keys = [k for k in keys if k in df.columns]
+    if keys:
+        return df.repartition(cores, keys[0]).sortWithinPartitions(*keys).drop(*keys).checkpoint(eager=True)
     data = df.checkpoint(eager=True)
-    n = data.count()
-    want = max(spark.sparkContext.defaultParallelism, -(-n // rows_per_partition))
-    if want < data.rdd.getNumPartitions():
-        data = data.coalesce(want)
-    return data, n
+    if data.rdd.getNumPartitions() < cores:
+        data = data.repartition(cores).checkpoint(eager=True)
+    return data
 
 
 # ---------------------------------------------------------------------------
@@ -131,9 +138,11 @@ class RidgeForecaster:
         self.target = target
 
     def fit(self, train: DataFrame) -> RidgeModel:
-        data, _ = training_frame(
-            select_linear_features(train, self.features, keep=[self.target])
-            .select(feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target))
+        keys = [k for k in ROW_KEYS if k in train.columns]
+        data = training_frame(
+            select_linear_features(train, self.features, keep=[self.target, *keys])
+            .select(*keys, feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target)),
+            keys,
         )
         stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("sd"),
                          F.avg(self.target).alias("mu")).first()
@@ -224,20 +233,23 @@ class BoostedTreesForecaster:
         )
 
     def fit(self, train: DataFrame) -> TreesModel:
-        """Fit a first chunk of ``patience + 16`` rounds; if the patience rule
-        has not fired by then, fit the full cap. Then refit the best prefix.
+        """Fit a first chunk of ``patience + 16`` rounds; while the patience
+        rule has not fired, fit a longer chunk (at least double, and past the
+        best round so far by the patience window), up to the cap. Then refit
+        the best prefix.
 
         With a fixed seed a fit of k rounds is an exact prefix of a longer
         fit, so this gives the same model as fitting the full cap. When the
-        best round comes early (as on weak signals) only the first chunk is
-        paid; otherwise the cost is the cap plus that chunk.
+        best round comes early only the first chunk is paid; in the worst
+        case the chunks add up to about twice the cap.
         """
         p = self.params
         cols = available_tree_features(train, self.features)
         flagged = validation_flag(train, p.validation_fraction, p.validation_mode)
-        data, _ = training_frame(flagged.select(
-            feature_vector(cols).alias(VEC), F.col(self.target).cast("double").alias(self.target), "is_validation",
-        ))
+        keys = [k for k in ROW_KEYS if k in flagged.columns]
+        data = training_frame(flagged.select(
+            *keys, feature_vector(cols).alias(VEC), F.col(self.target).cast("double").alias(self.target), "is_validation",
+        ), keys)
         fit_rows = data.filter(~F.col("is_validation"))
         val_rows = data.filter(F.col("is_validation"))
         rounds = min(p.max_iter, p.early_stopping_rounds + 16)
@@ -247,7 +259,9 @@ class BoostedTreesForecaster:
             keep, stopped = early_stop(losses, p.early_stopping_rounds) if losses else (rounds, False)
             if stopped or rounds >= p.max_iter:
                 break
-            rounds = p.max_iter
+            # Not settled yet: at least double, and reach past the best round
+            # seen so far by the patience window.
+            rounds = min(p.max_iter, max(2 * rounds, keep + p.early_stopping_rounds + 16))
         if keep < rounds:
             model = self._estimator(keep).fit(fit_rows)
         return TreesModel(cols, model, keep, losses, self.name)

@@ -42,6 +42,7 @@ from .report import executive_summary, report_lines
 # Trees in registered queries: the library defaults (up to 500 rounds,
 # early stopping after 50 rounds without gain).
 QUERY_TREE_ROUNDS = TreeParams().max_iter
+_FITTED_TREES: dict = {}
 
 CAL_COLS = ["year", "month", "week_of_year", "quarter", "is_month_end", "trend"]
 TRIG_COLS = ["week_sin", "week_cos", "month_sin", "month_cos"]
@@ -143,7 +144,12 @@ class Ctx:
 
     @cached_property
     def trees(self):
-        return ml.BoostedTreesForecaster(TreeParams(max_iter=QUERY_TREE_ROUNDS)).fit(self.train)
+        """Fitted once per Spark application and data folder: the tree
+        queries (predictions, importances, top features) share one model."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _FITTED_TREES:
+            _FITTED_TREES[key] = ml.BoostedTreesForecaster(TreeParams(max_iter=QUERY_TREE_ROUNDS)).fit(self.train)
+        return _FITTED_TREES[key]
 
 
 PLAN_ROUNDING = {"avg_weekly_demand": 6, "std_weekly_demand": 6, "forecast_avg_demand": 6, "demand_used": 6}

@@ -44,7 +44,15 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):  # as a caller with no engine settings would
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        import __spark_entry__
+
+        print("entry rows:", len(__spark_entry__.entry(spark).collect()))
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

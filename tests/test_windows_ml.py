@@ -162,3 +162,15 @@ def test_chunked_early_stopping_equals_full_fit(spark):
     full = f._estimator(params.max_iter).fit(data.filter(~F.col("is_validation")))
     losses = full.evaluateEachIteration(data.filter(F.col("is_validation")), "squared")
     assert chunked.n_trees == early_stop(losses, params.early_stopping_rounds)[0]
+
+
+def test_trees_do_not_depend_on_input_partitioning(spark):
+    df = _signal_panel(spark)
+    params = TreeParams(max_iter=12, step_size=0.3, min_instances_per_node=5, early_stopping_rounds=4)
+    feats = ["sales_lag_1", "Store"]
+    a = BoostedTreesForecaster(params, features=feats).fit(df.repartition(3))
+    b = BoostedTreesForecaster(params, features=feats).fit(df.repartition(7, "Date"))
+    assert a.n_trees == b.n_trees and a.validation_losses == b.validation_losses
+    pa = a.predict(df).orderBy("Store", "Date").select(a.output_col).toPandas()
+    pb = b.predict(df).orderBy("Store", "Date").select(b.output_col).toPandas()
+    np.testing.assert_array_equal(pa.to_numpy(), pb.to_numpy())
