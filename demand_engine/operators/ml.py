@@ -138,10 +138,13 @@ class RidgeForecaster:
         self.target = target
 
     def fit(self, train: DataFrame) -> RidgeModel:
+        absent = [c for c in self.features if c not in train.columns]
+        if absent:
+            raise ValueError(f"missing feature columns: {absent}")
         keys = [k for k in ROW_KEYS if k in train.columns]
         data = training_frame(
-            select_linear_features(train, self.features, keep=[self.target, *keys])
-            .select(*keys, feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target)),
+            train.select(*keys, feature_vector(self.features).alias(VEC),
+                         F.col(self.target).cast("double").alias(self.target)),
             keys,
         )
         stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("sd"),

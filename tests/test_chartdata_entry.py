@@ -127,3 +127,12 @@ def test_oracle_matches_on_smallest_tables(spark, sf_small, name):
                 assert u == pytest.approx(v, rel=1e-9, abs=2e-6)
             else:
                 assert u == v
+
+
+def test_ridge_on_store_week_rows(spark, sf_small):
+    """Ridge on real training rows, where a feature (IsHoliday) is also a row key."""
+    import __spark_entry__ as se
+
+    df = se.queries()["forecast_ridge"](spark, sf_small)
+    rows = df.collect()
+    assert len(rows) > 0 and all(r["pred_Ridge_Regression"] >= 0 for r in rows)
