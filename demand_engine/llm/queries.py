@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,5 +21,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules,)}
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` mixed by source to weights 5, 2, 1."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "repeats")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources)}
 ORACLE_SQL: dict[str, str] = {}
