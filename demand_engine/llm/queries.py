@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import decontaminate, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +26,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "repeats")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources)}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 13 words of ``benchmark`` in all ``documents``."""
+    return decontaminate.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources, op9_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
