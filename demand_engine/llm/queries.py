@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality_rules
+from . import decontaminate, linededup, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,5 +31,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources, op9_decontaminate)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated multi-line chunks of all ``documents``, cut out."""
+    return linededup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources, op9_decontaminate, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
