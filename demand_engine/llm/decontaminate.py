@@ -45,10 +45,6 @@ def _words(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
     return tx.hash_words(words)[ids], at
 
 
-def _digest(hashes: np.ndarray) -> int:
-    return int(tx.mix(hashes + np.arange(1, len(hashes) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64))
-
-
 def needles(items: DataFrame, id_col: str, text_col: str, window: int, shingle: int, containment: float) -> DataFrame:
     """(item_id, words, token, place, size, n_tokens, need): a row per needle
     and shingle; ``need`` of the ``n_tokens`` shingles must be present."""
@@ -139,18 +135,17 @@ def candidates(docs: DataFrame, wanted: DataFrame, sizes: list[int], id_col: str
     size, token, left, words). Every document also gives one row with a null
     token, which carries its word count."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "token"))
-    src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    src = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "text_hash", "n_words", "at", "size", "token", "left", "words"]
         for piece in tx.pieces(batches, "text"):
             hashes, at = _words(piece, "text")
             n = np.diff(at)
-            # repeated rows have one id and one digest of their words in order
-            digest = np.array([_digest(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint64).view(np.int64)
+            digest = piece.column("text_hash")
             m = piece.num_rows
             none = pa.nulls
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(digest), pa.array(n.astype(np.int64)), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([piece.column("id"), digest, pa.array(n.astype(np.int64)), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.binary())], names)
             for k, place, tokens, doc in _found(hashes, at, sizes, bits.value):
                 if not len(place):
                     continue
@@ -158,7 +153,7 @@ def candidates(docs: DataFrame, wanted: DataFrame, sizes: list[int], id_col: str
                 hi = np.minimum(at[doc + 1], place + window)
                 around = [hashes[a:b].astype("<u8").tobytes() for a, b in zip(lo, hi, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id").take(pa.array(doc)), pa.array(digest[doc]), pa.array(n[doc].astype(np.int64)), pa.array((place - at[doc]).astype(np.int64)),
+                    [piece.column("id").take(pa.array(doc)), digest.take(pa.array(doc)), pa.array(n[doc].astype(np.int64)), pa.array((place - at[doc]).astype(np.int64)),
                      pa.array(np.full(len(place), k, np.int32)), pa.array(tokens.view(np.int64)), pa.array((place - lo).astype(np.int32)), pa.array(around, pa.binary())], names,
                 )
 
@@ -199,12 +194,12 @@ def shared_shingles(a: str, b: str, size: str) -> F.Column:
     return F.size(F.array_intersect(grams(a), grams(b)))
 
 
-def contaminated_documents(
+def judged_rows(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, shingle: int = SHINGLE, containment: float = 1.0, hit_share: float = 0.05,
 ) -> DataFrame:
-    """One row per document: words, words inside an occurring window, the
-    items found, their digest and the verdict (n_hit >= hit_share of words)."""
+    """One row per document: (id, text_hash), words, words inside an
+    occurring window, the items found, their digest and the verdict."""
     rows, hits = needle_hits(docs, items, id_col, text_col, item_id_col, item_text_col, window, shingle, containment)
     # a document's places are no more than its words times the needle sizes
     per_doc = hits.groupBy("id", "text_hash").agg(
@@ -222,6 +217,21 @@ def contaminated_documents(
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items_list = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(items_list).cast("long").alias("n_items"), F.sha2(F.array_join(items_list, ","), 256).alias("items_sha256"),
+        "id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(items_list).cast("long").alias("n_items"), F.sha2(F.array_join(items_list, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit >= F.lit(hit_share) * F.col("n_words") - 1e-9)).alias("contaminated"),
     )
+
+
+def contaminated_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``judged_rows`` by document id: n_words, n_hit, n_items,
+    items_sha256 and contaminated (n_hit >= hit_share of the words)."""
+    return judged_rows(docs, items, id_col, **options).withColumnRenamed("id", id_col).drop("text_hash")
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that are not contaminated, with their columns."""
+    bad = judged_rows(docs, items, id_col, text_col, **options).where("contaminated")
+    bad = bad.select(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).distinct()
+    packed = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    same = packed["id"].eqNullSafe(bad["its_id"]) & (packed["text_hash"] == bad["its_hash"])
+    return packed.join(bad, same, "left_anti").select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, mixing, quality_rules
+from . import decontaminate, linededup, minhash, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all ``documents`` over 2-word shingles."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, similarity=80)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed by source to weights 5, 2, 1."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "repeats")
@@ -36,5 +41,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op5_mix_sources, op9_decontaminate, op10_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op5_mix_sources, op9_decontaminate, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
