@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, minhash, mixing, quality_rules
+from . import classifier, decontaminate, linededup, minhash, mixing, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,17 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "repeats")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as WARC records and read back by the index."""
+    index = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_records(index, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbour votes of ``labels.quality`` for all ``documents``."""
+    return classifier.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words of ``benchmark`` in all ``documents``."""
     return decontaminate.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -41,5 +52,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op5_mix_sources, op9_decontaminate, op10_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op5_mix_sources, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
