@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, decontaminate, linededup, minhash, mixing, quality_rules, warc
+from . import classifier, decontaminate, licenses, linededup, minhash, mixing, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source", "repeats")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in all ``documents``."""
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` written as WARC records and read back by the index."""
     index = warc.write_archives(_table(spark, sf_dir, "pages"))
@@ -52,5 +57,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op5_mix_sources, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
