@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, decontaminate, licenses, linededup, minhash, mixing, quality_rules, suffixes, warc
+from . import classifier, decontaminate, licenses, linededup, lm, minhash, mixing, quality_rules, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, similarity=80)
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-bilinear class model over all ``documents``."""
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated windows of 50 bytes removed from all ``documents``."""
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), depth=50)
@@ -62,5 +67,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
 ORACLE_SQL: dict[str, str] = {}
