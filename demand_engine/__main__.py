@@ -13,10 +13,10 @@ from __future__ import annotations
 import argparse
 import time
 
-from .config import HOLDOUT_WEEKS, TreeParams
+from .config import HOLDOUT_WEEKS, SERVICE_LEVEL, InventoryParams, TreeParams
 from .plans.pipeline import ALL_MODELS, PipelineConfig, run_pipeline, write_outputs
 from .plans.report import executive_summary, report_lines
-from .session import get_spark
+from .session import get_spark, release
 from .sources import load_raw_csv, load_raw_data, write_text
 
 
@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--holdout-weeks", type=int, default=HOLDOUT_WEEKS)
     ap.add_argument("--tree-rounds", type=int, default=TreeParams().max_iter)
+    ap.add_argument("--service-level", type=float, default=SERVICE_LEVEL)
     ap.add_argument("--models", default=",".join(ALL_MODELS))
     args = ap.parse_args(argv)
 
@@ -37,15 +38,17 @@ def main(argv: list[str] | None = None) -> int:
     t0 = time.time()
     sales, stores = load_raw_data(spark, args.sf_dir) if args.sf_dir else load_raw_csv(spark, args.csv_dir)
     cfg = PipelineConfig(holdout_weeks=args.holdout_weeks, trees=TreeParams(max_iter=args.tree_rounds),
+                         inventory=InventoryParams(service_level=args.service_level),
                          models=tuple(m for m in args.models.split(",") if m))
     out = run_pipeline(sales, stores, cfg)
     out.pop("models")
     write_outputs(out, args.out, fmt=args.format)
     summary = executive_summary(out["store_weekly"], out["model_comparison"], out["inventory_plan"], cfg.holdout_weeks)
-    lines = report_lines(summary, out["model_comparison"], cfg.inventory.lead_time_weeks)
+    lines = report_lines(summary, out["model_comparison"], cfg.inventory.lead_time_weeks, cfg.inventory.service_level)
     write_text(lines.orderBy("line_no").select("value"), f"{args.out.rstrip('/')}/executive_summary")
     for row in lines.orderBy("line_no").collect():  # a few dozen report lines
         print(row["value"])
+    release(spark)
     print(f"Pipeline completed in {time.time() - t0:.1f}s.")
     return 0
 

@@ -5,7 +5,7 @@ Every operator takes these as arguments; the values here are only defaults.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from statistics import NormalDist
 
 # ---------------------------------------------------------------------------
@@ -21,9 +21,7 @@ RIDGE_ALPHA = 1.0
 
 TREE_N_ESTIMATORS = 500
 TREE_LEARNING_RATE = 0.05
-TREE_NUM_LEAVES = 31
 TREE_MIN_CHILD_SAMPLES = 20
-TREE_SUBSAMPLE = 0.8
 TREE_COLSAMPLE = 0.8
 EARLY_STOPPING_ROUNDS = 50
 VALIDATION_FRACTION = 0.1
@@ -70,13 +68,18 @@ def moving_average_name(window: int) -> str:
 @dataclass(frozen=True)
 class InventoryParams:
     lead_time_weeks: float = LEAD_TIME_WEEKS
-    z_score: float = field(default_factory=z_score)
+    service_level: float = SERVICE_LEVEL
+    z_score: float | None = None  # given, it takes the place of the service level's
     ordering_cost: float = ORDERING_COST
     unit_value: float = UNIT_VALUE
     holding_cost_pct: float = HOLDING_COST_PCT
     review_period_weeks: float = REVIEW_PERIOD_WEEKS
     alert_threshold: float = ALERT_THRESHOLD
 
+    def __post_init__(self) -> None:
+        if self.z_score is None:
+            object.__setattr__(self, "z_score", z_score(self.service_level))
+
 
 @dataclass(frozen=True)
 class TreeParams:
@@ -94,5 +97,8 @@ class TreeParams:
     validation_fraction: float = VALIDATION_FRACTION
     validation_mode: str = "chronological"
     seed: int = RANDOM_SEED
-    max_bins: int = 32
+    # Split candidates per feature; the original learner's default is 255.
+    max_bins: int = 128
+    # Size of the training partitions: it fixes their number for given rows.
+    rows_per_partition: int = 32_768
     checkpoint_interval: int = 10

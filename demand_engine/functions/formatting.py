@@ -22,12 +22,8 @@ def prediction_column_expr(model_name: str | Column) -> Column:
 
 def money(c: str | Column) -> Column:
     """'$1,234,567' (no decimals)."""
-    return F.concat(F.lit("$"), F.format_number(col_(c), 0))
+    return F.concat(F.lit("$"), F.format_number(F.round(col_(c)), 0))
 
 
 def percent(c: str | Column, digits: int = 1) -> Column:
     return F.concat(F.format_string(f"%.{digits}f", col_(c)), F.lit("%"))
-
-
-def padded(label: str, width: int) -> Column:
-    return F.rpad(F.lit(label), width, " ")

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import clip_lower, safe_div
-from .common import attach_scalars, broadcast_if_small
+from ..session import materialize
+from .common import attach_scalars
+from .prefix import running_count
 
 MILLION = 1e6
 
@@ -47,7 +49,7 @@ def holiday_dates(subset: DataFrame, band_days: int = 7) -> DataFrame:
     )
 
 
-def demand_trend_data(store_weekly: DataFrame, store_ids: Sequence[int] | None = None) -> DataFrame:
+def demand_trend_data(store_weekly: DataFrame, store_ids: Sequence[int] | None = None, value_col: str = "Weekly_Sales") -> DataFrame:
     """Weekly sales in $M of a few stores (default: first store of each type)."""
     if store_ids is None:
         # At most ``n_types`` rows: a proven bound, so broadcasting is safe.
@@ -55,11 +57,11 @@ def demand_trend_data(store_weekly: DataFrame, store_ids: Sequence[int] | None =
         subset = store_subset(store_weekly, ids)
     else:
         subset = store_subset(store_weekly, store_ids)
-    return subset.select("Store", "Type", "Date", "IsHoliday", in_millions("Weekly_Sales").alias("sales_musd"))
+    return subset.select("Store", "Type", "Date", "IsHoliday", in_millions(value_col).alias("sales_musd"))
 
 
-def holiday_bands(store_weekly: DataFrame, store_ids: Sequence[int] | None = None) -> DataFrame:
-    return holiday_dates(demand_trend_data(store_weekly, store_ids))
+def holiday_bands(store_weekly: DataFrame, store_ids: Sequence[int] | None = None, value_col: str = "Weekly_Sales") -> DataFrame:
+    return holiday_dates(demand_trend_data(store_weekly, store_ids, value_col))
 
 
 # ---------------------------------------------------------------------------
@@ -105,11 +107,17 @@ def histogram(df: DataFrame, value_col: str, bins: int = 40) -> DataFrame:
         F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0")).alias("_hi"),
     )
     lo, hi = F.col("_lo"), F.col("_hi")
-    idx = F.least(F.floor((F.col(value_col) - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int") + 1, F.lit(bins))
+    width = (hi - lo) / F.lit(float(bins))
+
+    def edge(i: F.Column) -> F.Column:
+        return F.when(i == bins, hi).otherwise(lo + i * width)
+
+    # The quotient may round across an edge, so the bin is held against its edges.
+    v, guess = F.col(value_col), F.least(F.floor((F.col(value_col) - lo) / (hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    idx = guess - (v < edge(guess)).cast("int") + ((v >= edge(guess + 1)) & (guess < bins - 1)).cast("int")
     counts = attach_scalars(df.filter(F.col(value_col).isNotNull()).select(value_col), rng) \
-        .select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+        .select((idx + 1).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     all_bins = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / F.lit(float(bins))
     # ``all_bins`` has ``bins`` rows and ``counts`` at most ``bins``: both tiny.
     return (
         attach_scalars(all_bins, rng).join(counts, "bin", "left")
@@ -171,49 +179,60 @@ def inventory_scatter_data(plan: DataFrame, top_n: int = 20) -> DataFrame:
 # Distribution by store type (box plot)
 # ---------------------------------------------------------------------------
 
-def sales_distribution_by_type(store_weekly: DataFrame, exact: bool = False, accuracy: int = 10000,
-                               whisker: float = 1.5, value_col: str = "Weekly_Sales") -> DataFrame:
-    """Per type: quartiles, whiskers (furthest points within ``whisker`` x IQR),
-    counts and outlier count, in $M.
+def quartiles_by_type(store_weekly: DataFrame, value_col: str = "Weekly_Sales") -> DataFrame:
+    """Exact, linearly interpolated quartiles per type, in $M: (Type, n, q1,
+    median, q3).
 
-    ``exact=False`` (default) uses ``percentile_approx``: a bounded-memory
-    sketch merged across tasks, safe when one type holds a third of all
-    rows. ``exact=True`` uses the exact, linearly interpolated percentile,
-    which keeps every distinct value of a type in one task: small inputs only.
+    Equal values are counted first; the distinct values are ranked by range
+    buckets and running counts, so no type meets in one task, and the values
+    at the wanted ranks come out of a partial aggregate.
     """
-    v = in_millions(value_col)
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile(v, qs) if exact else F.percentile_approx(v, qs, accuracy)
-    quart = store_weekly.groupBy("Type").agg(q.alias("_q"))
-    quart = quart.select(
-        "Type",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
-    ).withColumns({
-        "_lo": F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1")),
-        "_hi": F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1")),
-    })
-    # One row per type, broadcast after a size check: a shuffle join keyed by
-    # type would send a type holding a third of all rows to a single task.
-    fences = broadcast_if_small(quart.select("Type", "_lo", "_hi"))
-    joined = store_weekly.select("Type", v.alias("_v")).join(fences, "Type")
+    values = store_weekly.filter(F.col(value_col).isNotNull()).groupBy("Type", F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_count(values, "Type", "_v", "_c", "_upto")
+    sizes = materialize(ranked.groupBy("Type").agg(F.max("_upto").alias("n")), "sizes")
+    joined = ranked.join(sizes, "Type")
+
+    def at(rank: F.Column) -> F.Column:  # the value of the 0-based rank
+        return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+
+    def place(q: float) -> F.Column:
+        return F.lit(q) * (F.col("n") - 1)
+
+    picked = joined.groupBy("Type", "n").agg(*[
+        f for q, name in _QUARTILES for f in (at(F.floor(place(q))).alias(f"_{name}_lo"), at(F.ceil(place(q))).alias(f"_{name}_hi"))
+    ])
+    return picked.select("Type", "n", *[
+        in_millions(F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (place(q) - F.floor(place(q)))).alias(name)
+        for q, name in _QUARTILES
+    ])
+
+
+_QUARTILES = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+
+
+def sales_distribution_by_type(store_weekly: DataFrame, whisker: float = 1.5, value_col: str = "Weekly_Sales") -> DataFrame:
+    """Per type: exact quartiles, whiskers (furthest points within ``whisker``
+    x IQR), counts and outlier count, in $M."""
+    quart = materialize(quartiles_by_type(store_weekly, value_col), "quartiles")
+    reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
+    fences = quart.select("Type", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
+    joined = store_weekly.select("Type", in_millions(value_col).alias("_v")).join(fences, "Type")
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
     spans = joined.groupBy("Type").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
-        F.count("_v").alias("n"),
         F.count_if(~inside).alias("n_outliers"),
     )
-    return quart.drop("_lo", "_hi").join(spans, "Type")
+    return quart.join(spans, "Type").select("Type", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n", "n_outliers")
 
 
-def sales_outliers_by_type(store_weekly: DataFrame, exact: bool = False, accuracy: int = 10000,
-                           whisker: float = 1.5, value_col: str = "Weekly_Sales") -> DataFrame:
+def sales_outliers_by_type(store_weekly: DataFrame, whisker: float = 1.5, value_col: str = "Weekly_Sales") -> DataFrame:
     """The rows drawn as outlier points in the box plot."""
-    box = sales_distribution_by_type(store_weekly, exact, accuracy, whisker, value_col)
+    box = sales_distribution_by_type(store_weekly, whisker, value_col)
     v = in_millions(value_col)
     return (
         store_weekly.select("Store", "Date", "Type", v.alias("sales_musd"))
-        .join(broadcast_if_small(box.select("Type", "whisker_lo", "whisker_hi")), "Type")
+        .join(box.select("Type", "whisker_lo", "whisker_hi"), "Type")
         .filter((F.col("sales_musd") < F.col("whisker_lo")) | (F.col("sales_musd") > F.col("whisker_hi")))
         .drop("whisker_lo", "whisker_hi")
     )

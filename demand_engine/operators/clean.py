@@ -52,6 +52,12 @@ def build_store_weekly(sales: DataFrame, stores: DataFrame, sales_col: str = "We
     return joined.groupBy(*STORE_WEEK_KEYS).agg(F.sum("_ws").alias(sales_col))
 
 
+def duplicated_stores(stores: DataFrame) -> DataFrame:
+    """(Store, n) of the stores with more than one row; their sales would be
+    summed once for each."""
+    return stores.groupBy("Store").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Drop rows with a NULL (or NaN) in any column."""
     return df.na.drop(how="any")

@@ -14,15 +14,3 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     a scalar subquery when the value is referenced several times.
     """
     return df.crossJoin(F.broadcast(one_row))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
-
-    For tables that are small by nature (one row per category) but whose size
-    is not fixed by construction. Above the bound the plain frame is returned
-    and the optimizer / AQE choose the join. The count is one cheap job over
-    an already-aggregated table.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -62,14 +62,15 @@ def rmse_vs_worst(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn(VS_WORST_COL, F.round(F.try_divide(worst - F.col("RMSE"), worst) * 100, 1))
 
 
+def rmse_vs_baseline(metrics: DataFrame, baseline: str) -> DataFrame:
+    """Percent RMSE reduction against the named model (NULL if it is absent)."""
+    own = F.max(F.when(F.col("Model") == baseline, F.col("RMSE"))).over(Window.partitionBy())
+    return metrics.withColumn("rmse_vs_baseline_pct", F.round(F.try_divide(own - F.col("RMSE"), own) * 100, 1))
+
+
 def compare_models(metrics: DataFrame) -> DataFrame:
     return rmse_vs_worst(rank_models(metrics))
 
 
 def best_model(ranked: DataFrame) -> DataFrame:
     return ranked.orderBy("Rank").limit(1)
-
-
-def best_model_name(ranked: DataFrame):
-    """The best model's name as a scalar subquery (a Column, evaluated once)."""
-    return ranked.filter(F.col("Rank") == 1).select("Model").scalar()

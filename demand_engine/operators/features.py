@@ -24,24 +24,24 @@ def first_date(df: DataFrame, date_col: str = "Date") -> DataFrame:
     return df.agg(F.min(date_col).alias("first_date"))
 
 
-def add_time_features(df: DataFrame, date_col: str = "Date") -> DataFrame:
+def time_columns(d: F.Column, origin: F.Column) -> dict[str, F.Column]:
     """year, month, ISO week, quarter, month-end flag, sin/cos cycles, trend."""
-    d = F.col(date_col)
-    origin = first_date(df, date_col).scalar()
-    out = df.withColumns({
-        "year": cal.year(d),
-        "month": cal.month(d),
-        "week_of_year": cal.iso_week(d),
-        "quarter": cal.quarter(d),
-        "is_month_end": cal.is_month_end(d),
-    })
-    return out.withColumns({
-        "week_sin": cal.cyclic_sin("week_of_year", 52),
-        "week_cos": cal.cyclic_cos("week_of_year", 52),
-        "month_sin": cal.cyclic_sin("month", 12),
-        "month_cos": cal.cyclic_cos("month", 12),
+    week, month = cal.iso_week(d), cal.month(d)
+    return {
+        "year": cal.year(d), "month": month, "week_of_year": week, "quarter": cal.quarter(d), "is_month_end": cal.is_month_end(d),
+        "week_sin": cal.cyclic_sin(week, 52), "week_cos": cal.cyclic_cos(week, 52),
+        "month_sin": cal.cyclic_sin(month, 12), "month_cos": cal.cyclic_cos(month, 12),
         "trend": cal.whole_weeks_since(d, origin),
-    })
+    }
+
+
+def store_columns(strict: bool) -> dict[str, F.Column]:
+    """type_code and size_norm, from ``size_mean`` and ``size_std`` columns."""
+    return {"type_code": type_code("Type", strict), "size_norm": safe_div(F.col("Size") - F.col("size_mean"), F.col("size_std"))}
+
+
+def add_time_features(df: DataFrame, date_col: str = "Date") -> DataFrame:
+    return df.withColumns(time_columns(F.col(date_col), first_date(df, date_col).scalar()))
 
 
 def type_code(type_col: str = "Type", strict: bool = True):
@@ -67,11 +67,7 @@ def add_store_features(df: DataFrame, strict: bool = True, moments_from: DataFra
     rows only); by default they come from ``df`` itself.
     """
     m = size_moments(moments_from if moments_from is not None else df)
-    out = attach_scalars(df, m).withColumns({
-        "type_code": type_code("Type", strict),
-        "size_norm": safe_div(F.col("Size") - F.col("size_mean"), F.col("size_std")),
-    })
-    return out.drop("size_mean", "size_std")
+    return attach_scalars(df, m).withColumns(store_columns(strict)).drop("size_mean", "size_std")
 
 
 def lag_window(df: DataFrame, group_col: str = "Store", order_cols: Sequence[str] = LAG_ORDER):
@@ -102,31 +98,19 @@ def add_lag_features(
     return df.withColumns(cols)
 
 
-def prepare_features(df: DataFrame, strict: bool = True) -> DataFrame:
+def prepare_features(
+    df: DataFrame, strict: bool = True, lags: Sequence[int] = LAGS, windows: Sequence[int] = ROLLING_WINDOWS, sales_col: str = "Weekly_Sales",
+    fit_on: DataFrame | None = None,
+) -> DataFrame:
     """Calendar, store and lag features on the whole store-week table.
 
     The three global scalars (first date, size mean and std) come from one
     one-row aggregate attached once, so ``df`` is read twice: once for the
     scalars and once for the rows. Materialise ``df`` first when it is
-    expensive to recompute (the pipeline does).
+    expensive to recompute (the pipeline does). ``fit_on`` (e.g. the training
+    rows) gives the size moments instead of ``df``.
     """
-    scalars = df.agg(F.min("Date").alias("_first_date"),
-                     F.avg("Size").alias("size_mean"), F.stddev_samp("Size").alias("size_std"))
-    d = F.col("Date")
-    out = attach_scalars(df, scalars).withColumns({
-        "year": cal.year(d),
-        "month": cal.month(d),
-        "week_of_year": cal.iso_week(d),
-        "quarter": cal.quarter(d),
-        "is_month_end": cal.is_month_end(d),
-    })
-    out = out.withColumns({
-        "week_sin": cal.cyclic_sin("week_of_year", 52),
-        "week_cos": cal.cyclic_cos("week_of_year", 52),
-        "month_sin": cal.cyclic_sin("month", 12),
-        "month_cos": cal.cyclic_cos("month", 12),
-        "trend": cal.whole_weeks_since(d, F.col("_first_date")),
-        "type_code": type_code("Type", strict),
-        "size_norm": safe_div(F.col("Size") - F.col("size_mean"), F.col("size_std")),
-    }).drop("_first_date", "size_mean", "size_std")
-    return add_lag_features(out)
+    first, moments = F.min("Date").alias("_first_date"), (F.avg("Size").alias("size_mean"), F.stddev_samp("Size").alias("size_std"))
+    out = attach_scalars(df, df.agg(first, *moments)) if fit_on is None else attach_scalars(attach_scalars(df, df.agg(first)), fit_on.agg(*moments))
+    out = out.withColumns(time_columns(F.col("Date"), F.col("_first_date")) | store_columns(strict))
+    return add_lag_features(out.drop("_first_date", "size_mean", "size_std"), lags, windows, sales_col=sales_col)

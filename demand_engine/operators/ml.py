@@ -1,16 +1,19 @@
 """Ridge regression and gradient-boosted trees on Spark ML.
 
 Fitting is an action; prediction stays lazy. Feature vectors are built
-JVM-side with ``array_to_vector`` (no Python per row). Training rows are
-written to the shared checkpoint folder once before the iterative fit, so
-a lost executor re-reads them instead of re-running the feature plan.
+JVM-side with ``array_to_vector`` (no Python per row). The rows for the
+iterative tree fit are written to the shared checkpoint folder once, so a
+lost executor re-reads them instead of re-running the feature plan.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
@@ -66,31 +69,22 @@ def standard_scale(train: DataFrame, df: DataFrame, cols: Sequence[str] = LINEAR
 ROW_KEYS = ("Store", "Date", "IsHoliday", "Type", "Size")
 
 
-def training_frame(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Materialise model inputs once in the shared checkpoint folder.
+def training_frame(df: DataFrame, keys: Sequence[str], rows_per_partition: int) -> DataFrame:
+    """Tree inputs in a layout that depends on the rows alone.
 
-    Iterative fitting then re-reads files instead of re-running the feature
-    plan, and a lost executor recomputes from the checkpoint.
-
-    With ``keys`` the rows get a canonical layout first: hash-partitioned on
-    the first key into one partition per core and sorted by all keys inside
-    each partition (the keys are then dropped). Spark's tree learner samples
-    split candidates per partition, so this makes the fitted model depend
-    only on the data and the core count, not on how upstream stages happened
-    to partition it. A store holds one row per week, so no partition is hot.
-    Without keys, too few partitions (AQE packs small tables tightly) are
-    spread out so that fitting uses every core.
+    Spark's tree learner samples split candidates per partition, so the rows
+    are hash-partitioned on the first key into ``rows / rows_per_partition``
+    partitions and sorted by all keys (which are then dropped): neither the
+    cores nor upstream stages change the model, and partitions do not grow
+    with the data. The frame is checkpointed to the shared folder (a file
+    reader would deal the rows by the number of cores), so iterative fitting
+    re-reads files and a lost executor costs no re-run of the feature plan. A
+    store holds one row per week, so no partition is hot.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    cores = spark.sparkContext.defaultParallelism
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [k for k in keys if k in df.columns]
-    if keys:
-        return df.repartition(cores, keys[0]).sortWithinPartitions(*keys).drop(*keys).checkpoint(eager=True)
-    data = df.checkpoint(eager=True)
-    if data.rdd.getNumPartitions() < cores:
-        data = data.repartition(cores).checkpoint(eager=True)
-    return data
+    parts = max(1, -(-df.count() // rows_per_partition))
+    return df.repartition(parts, keys[0]).sortWithinPartitions(*keys).drop(*keys).checkpoint(eager=True)
 
 
 # ---------------------------------------------------------------------------
@@ -141,12 +135,8 @@ class RidgeForecaster:
         absent = [c for c in self.features if c not in train.columns]
         if absent:
             raise ValueError(f"missing feature columns: {absent}")
-        keys = [k for k in ROW_KEYS if k in train.columns]
-        data = training_frame(
-            train.select(*keys, feature_vector(self.features).alias(VEC),
-                         F.col(self.target).cast("double").alias(self.target)),
-            keys,
-        )
+        # Fitting is a few passes that do not depend on row order: no shuffle.
+        data = train.select(feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target))
         stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("sd"),
                          F.avg(self.target).alias("mu")).first()
         n, sd, mu = stats["n"], stats["sd"], stats["mu"]
@@ -197,15 +187,38 @@ class TreesModel:
         scored = self.model.transform(df.withColumn(VEC, feature_vector(self.features)))
         return scored.withColumn(self.output_col, clip_negative(RAW)).drop(VEC, RAW)
 
-    def feature_importances(self) -> list[tuple[str, float]]:
-        """(feature, importance) sorted descending. Spark's importances are
-        impurity-gain based and sum to 1 (not split counts)."""
-        imp = self.model.featureImportances.toArray().tolist()
-        return sorted(zip(self.features, imp), key=lambda t: (-t[1], t[0]))
+    def feature_importances(self) -> list[tuple[str, float, int]]:
+        """(feature, importance, splits) sorted descending: Spark's impurity
+        gains (they sum to 1) and how many splits use the feature."""
+        gains = self.model.featureImportances.toArray().tolist()
+        splits = Counter(int(i) for tree in self.model.trees for i in _SPLIT.findall(tree.toDebugString))
+        rows = [(f, g, splits[i]) for i, (f, g) in enumerate(zip(self.features, gains))]
+        return sorted(rows, key=lambda t: (-t[1], t[0]))
 
     def feature_importances_df(self, spark) -> DataFrame:
         """One row per feature (bounded by the feature list)."""
-        return spark.createDataFrame(self.feature_importances(), "feature string, importance double")
+        return spark.createDataFrame(self.feature_importances(), "feature string, importance double, splits long")
+
+
+_SPLIT = re.compile(r"If \(feature (\d+) ")
+
+
+def prefix_model(model: GBTRegressionModel, keep: int) -> GBTRegressionModel:
+    """The ensemble of the first ``keep`` trees: rounds only add trees, so
+    this is the model that a fit of ``keep`` rounds gives."""
+    if keep >= model.getNumTrees:
+        return model
+    full = model._java_obj
+    gateway = SparkContext._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(gateway.jvm.double, keep)
+    fitted, rates = full.trees(), full.treeWeights()
+    for i in range(keep):
+        trees[i], weights[i] = fitted[i], rates[i]
+    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(full.uid(), trees, weights, full.numFeatures())
+    cut.setFeaturesCol(VEC)
+    cut.setPredictionCol(RAW)
+    return GBTRegressionModel(cut)
 
 
 class BoostedTreesForecaster:
@@ -213,8 +226,8 @@ class BoostedTreesForecaster:
 
     Trees are fitted on the non-validation training rows up to ``max_iter``;
     the validation loss of every prefix is computed in one pass
-    (``evaluateEachIteration``); the best prefix under the patience rule
-    is refitted with the same seed, which reproduces that exact prefix.
+    (``evaluateEachIteration``); the best prefix under the patience rule is
+    made of the fitted trees, without another fit.
     """
 
     name = TREES_NAME
@@ -238,13 +251,14 @@ class BoostedTreesForecaster:
     def fit(self, train: DataFrame) -> TreesModel:
         """Fit a first chunk of ``patience + 16`` rounds; while the patience
         rule has not fired, fit a longer chunk (at least double, and past the
-        best round so far by the patience window), up to the cap. Then refit
-        the best prefix.
+        best round so far by the patience window), up to the cap. The model
+        is the best prefix of the last fit.
 
         With a fixed seed a fit of k rounds is an exact prefix of a longer
         fit, so this gives the same model as fitting the full cap. When the
         best round comes early only the first chunk is paid; in the worst
-        case the chunks add up to about twice the cap.
+        case the chunks add up to about twice the cap (Spark's learner cannot
+        continue a fit).
         """
         p = self.params
         cols = available_tree_features(train, self.features)
@@ -252,7 +266,7 @@ class BoostedTreesForecaster:
         keys = [k for k in ROW_KEYS if k in flagged.columns]
         data = training_frame(flagged.select(
             *keys, feature_vector(cols).alias(VEC), F.col(self.target).cast("double").alias(self.target), "is_validation",
-        ), keys)
+        ), keys, p.rows_per_partition)
         fit_rows = data.filter(~F.col("is_validation"))
         val_rows = data.filter(F.col("is_validation"))
         rounds = min(p.max_iter, p.early_stopping_rounds + 16)
@@ -265,6 +279,4 @@ class BoostedTreesForecaster:
             # Not settled yet: at least double, and reach past the best round
             # seen so far by the patience window.
             rounds = min(p.max_iter, max(2 * rounds, keep + p.early_stopping_rounds + 16))
-        if keep < rounds:
-            model = self._estimator(keep).fit(fit_rows)
-        return TreesModel(cols, model, keep, losses, self.name)
+        return TreesModel(cols, prefix_model(model, keep), keep, losses, self.name)

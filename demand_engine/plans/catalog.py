@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LINEAR_FEATURES, MAPE_EPS, TREE_FEATURES, InventoryParams, TreeParams
+from ..config import LINEAR_FEATURES, MAPE_EPS, TREE_FEATURES, InventoryParams
 from ..operators import chartdata as charts
 from ..operators import evaluation as ev
 from ..operators import features as fe
@@ -25,13 +25,12 @@ from ..operators import profiles as pr
 from ..operators import split as sp
 from ..operators.baselines import MovingAverageForecaster, NaiveForecaster, naive_last
 from ..operators.clean import build_store_weekly, clean_sales, drop_incomplete, enrich_stores
-from ..session import shared_path
+from ..session import fresh_path, materialize
 from ..sources import tables
 from ..sources.sinks import write_table
 from .pipeline import (
     BASELINE_MODELS,
     PipelineConfig,
-    materialize,
     model_columns,
     run_pipeline,
     score_holdout,
@@ -39,11 +38,6 @@ from .pipeline import (
 )
 from .report import executive_summary, report_lines
 
-# Trees in registered queries: the library defaults (up to 500 rounds,
-# early stopping after 50 rounds without gain).
-QUERY_TREE_ROUNDS = TreeParams().max_iter
-_FITTED_TREES: dict = {}
-
 CAL_COLS = ["year", "month", "week_of_year", "quarter", "is_month_end", "trend"]
 TRIG_COLS = ["week_sin", "week_cos", "month_sin", "month_cos"]
 LAG_COLS = ["sales_lag_1", "sales_lag_2", "sales_lag_4", "sales_lag_12"]
@@ -96,7 +90,7 @@ class Ctx:
 
     @cached_property
     def cutoff_row(self):
-        return sp.cutoff_info(self.features).first()  # one row
+        return sp.cutoff_info(self.store_weekly_m).first()  # one row
 
     @cached_property
     def cutoff(self) -> DataFrame:
@@ -142,14 +136,33 @@ class Ctx:
     def plan(self) -> DataFrame:
         return inv.build_inventory_plan(self.stats, self.forecasts, InventoryParams())
 
+    @cached_property
+    def ridge(self):
+        return ml.RidgeForecaster().fit(self.train)
+
     @cached_property
     def trees(self):
-        """Fitted once per Spark application and data folder: the tree
-        queries (predictions, importances, top features) share one model."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _FITTED_TREES:
-            _FITTED_TREES[key] = ml.BoostedTreesForecaster(TreeParams(max_iter=QUERY_TREE_ROUNDS)).fit(self.train)
-        return _FITTED_TREES[key]
+        return ml.BoostedTreesForecaster().fit(self.train)
+
+    def scored_with(self, models: list) -> DataFrame:
+        return materialize(score_holdout(self.holdout, models), "scored")
+
+    @cached_property
+    def ridge_models(self) -> list:
+        """The models that SQL can express: the baselines and ridge."""
+        return [*self.baseline_models, self.ridge]
+
+    @cached_property
+    def scored_ridge(self) -> DataFrame:
+        return self.scored_with(self.ridge_models)
+
+    @cached_property
+    def all_models(self) -> list:
+        return [*self.ridge_models, self.trees]
+
+    @cached_property
+    def scored_all(self) -> DataFrame:
+        return self.scored_with(self.all_models)
 
 
 PLAN_ROUNDING = {"avg_weekly_demand": 6, "std_weekly_demand": 6, "forecast_avg_demand": 6, "demand_used": 6}
@@ -179,20 +192,18 @@ def scan_stores(c: Ctx) -> DataFrame:
 
 def write_table_roundtrip(c: Ctx) -> DataFrame:
     """Store-week table written as parquet to the shared folder and read back."""
-    import uuid
-
-    path = shared_path(c.spark, "tables", f"store_weekly-{uuid.uuid4().hex}")
+    path = fresh_path(c.spark, "store_weekly")
     write_table(c.store_weekly, path)
     return rounded(c.spark.read.parquet(path), {"Weekly_Sales": 2})
 
 
 def csv_roundtrip(c: Ctx) -> DataFrame:
     """Sales and stores written as CSV files, found again through the
-    folder-then-parent fallback, and aggregated to store-weeks."""
-    import uuid
-
-    base = shared_path(c.spark, "csv", uuid.uuid4().hex)
-    write_table(c.sales, f"{base}/train.csv", fmt="csv")
+    folder-then-parent fallback, and aggregated to store-weeks. The sales
+    file has a department column and another column order."""
+    base = fresh_path(c.spark, "csv")
+    wide = c.sales.select("Date", "Store", (F.col("Store") % 99).alias("Dept"), "IsHoliday", "Weekly_Sales")
+    write_table(wide, f"{base}/train.csv", fmt="csv")
     write_table(c.stores, f"{base}/stores.csv", fmt="csv")
     sales, stores = tables.load_raw_csv(c.spark, f"{base}/data")  # falls back to ``base``
     return rounded(build_store_weekly(sales, stores), {"Weekly_Sales": 2})
@@ -472,8 +483,15 @@ def residual_histogram(c: Ctx) -> DataFrame:
     return rounded(h, {"bin_lo": 6, "bin_hi": 6})
 
 
+BOX_ROUNDING = {k: 8 for k in ("q1", "median", "q3", "whisker_lo", "whisker_hi")}
+
+
 def sales_distribution_by_type(c: Ctx) -> DataFrame:
-    return charts.sales_distribution_by_type(c.store_weekly_m)
+    return rounded(charts.sales_distribution_by_type(c.store_weekly_m), BOX_ROUNDING)
+
+
+def sales_outliers_by_type(c: Ctx) -> DataFrame:
+    return rounded(charts.sales_outliers_by_type(c.store_weekly_m), {"sales_musd": 8})
 
 
 # ---------------------------------------------------------------------------
@@ -496,8 +514,35 @@ def standard_scaler(c: Ctx) -> DataFrame:
 
 
 def forecast_ridge(c: Ctx) -> DataFrame:
-    m = ml.RidgeForecaster().fit(c.train)
-    return m.predict(c.holdout).select("Store", "Date", m.output_col)
+    m = c.ridge
+    return rounded(m.predict(c.holdout).select("Store", "Date", m.output_col), {m.output_col: 2})
+
+
+def evaluate_models_ridge(c: Ctx) -> DataFrame:
+    """Baselines and ridge, the models that SQL can check."""
+    return ev.evaluate_models(c.scored_ridge, model_columns(c.ridge_models))
+
+
+def model_comparison_ridge(c: Ctx) -> DataFrame:
+    return ev.compare_models(evaluate_models_ridge(c))
+
+
+def evaluate_models_all(c: Ctx) -> DataFrame:
+    """All four models."""
+    return ev.evaluate_models(c.scored_all, model_columns(c.all_models))
+
+
+def model_comparison_all(c: Ctx) -> DataFrame:
+    return ev.compare_models(evaluate_models_all(c))
+
+
+def forecast_table_all(c: Ctx) -> DataFrame:
+    ranked = materialize(model_comparison_all(c), "ranked")
+    return with_best_prediction(c.scored_all, ranked, c.all_models)
+
+
+def actual_vs_predicted_all(c: Ctx) -> DataFrame:
+    return charts.actual_vs_predicted_data(c.scored_all, list(model_columns(c.all_models).values()))
 
 
 def forecast_gbt(c: Ctx) -> DataFrame:
@@ -518,20 +563,22 @@ def top_features(c: Ctx) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def executive_summary_q(c: Ctx) -> DataFrame:
-    s = executive_summary(c.store_weekly, c.ranked, c.plan, 12)
+    s = executive_summary(c.store_weekly_m, c.ranked, c.plan, 12)
     return rounded(s, {"avg_safety_stock": 4, "avg_reorder_point": 4, "avg_eoq": 4})
 
 
 def report_text(c: Ctx) -> DataFrame:
-    s = executive_summary(c.store_weekly, c.ranked, c.plan, 12)
-    return report_lines(s, c.ranked)
+    p = InventoryParams()
+    return report_lines(executive_summary(c.store_weekly_m, c.ranked, c.plan, 12), c.ranked, p.lead_time_weeks, p.service_level)
+
 
+def plan_summary_text(c: Ctx) -> DataFrame:
+    return inv.inventory_summary_text(inv.summarise_inventory(c.plan))
 
-def pipeline(c: Ctx) -> DataFrame:
+
+def demand_pipeline(c: Ctx) -> DataFrame:
     """All four models; the plan driven by the best one."""
-    cfg = PipelineConfig(trees=TreeParams(max_iter=QUERY_TREE_ROUNDS))
-    out = run_pipeline(c.sales, c.stores, cfg)
-    return rounded(out["inventory_plan"], PLAN_ROUNDING)
+    return rounded(run_pipeline(c.sales, c.stores)["inventory_plan"], PLAN_ROUNDING)
 
 
 def pipeline_baselines(c: Ctx) -> DataFrame:
@@ -602,17 +649,25 @@ _REGISTRY: dict[str, Callable[[Ctx], DataFrame]] = {
     "residual_data": residual_data,
     "residual_histogram": residual_histogram,
     "sales_distribution_by_type": sales_distribution_by_type,
+    "sales_outliers_by_type": sales_outliers_by_type,
     "select_linear_features": select_linear_features,
     "select_tree_features": select_tree_features,
     "standard_scaler": standard_scaler,
     "forecast_ridge": forecast_ridge,
+    "evaluate_models_ridge": evaluate_models_ridge,
+    "model_comparison_ridge": model_comparison_ridge,
     "forecast_gbt": forecast_gbt,
+    "evaluate_models_all": evaluate_models_all,
+    "model_comparison_all": model_comparison_all,
+    "forecast_table_all": forecast_table_all,
+    "actual_vs_predicted_all": actual_vs_predicted_all,
     "feature_importance": feature_importance,
     "top_features": top_features,
     "executive_summary": executive_summary_q,
     "report_text": report_text,
+    "plan_summary_text": plan_summary_text,
     "pipeline_baselines": pipeline_baselines,
-    "pipeline": pipeline,
+    "demand_pipeline": demand_pipeline,
 }
 
 

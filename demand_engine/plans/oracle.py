@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from ..config import InventoryParams, MAPE_EPS, WEEKS_PER_YEAR
+from ..config import MAPE_EPS, RIDGE_ALPHA, RIDGE_NAME, WEEKS_PER_YEAR, InventoryParams
 from ..sources.tables import HOLIDAY_ISO_WEEKS, SIZE_OFFSET, TYPE_LETTERS
 
 
@@ -232,6 +232,39 @@ def _fix_leading_comma(sql: str) -> str:
     return sql.replace("\n\n, ", ",\n").replace(")\n\n, ", "),\n")
 
 
+_BOX = """
+, points AS (SELECT Store, Date, Type, Weekly_Sales / 1e6 AS v, Weekly_Sales AS raw FROM store_weekly),
+quart AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
+  SELECT Type, quantile_cont(raw, 0.25) / 1e6 AS q1, quantile_cont(raw, 0.5) / 1e6 AS median, quantile_cont(raw, 0.75) / 1e6 AS q3 FROM points GROUP BY Type))"""
+
+
+def _ridge_ctes() -> str:
+    """Ridge by its normal equations: sums of products of the standardised
+    features, solved by Gauss-Jordan steps, one subquery for each step."""
+    n = len(LINEAR)
+    mom = ", ".join(f"avg({_fill0(c)}) AS m_{i}, stddev_pop({_fill0(c)}) AS s_{i}" for i, c in enumerate(LINEAR))
+
+    def scaled(t: str) -> str:
+        return ", ".join(f"({_fill0(c).replace(chr(34) + c, t + '.' + chr(34) + c)} - m_{i}) / CASE WHEN s_{i} > 0 THEN s_{i} ELSE 1.0 END AS z_{i}" for i, c in enumerate(LINEAR))
+
+    entries = [f"sum(z_{i} * z_{j}){f' + {d(RIDGE_ALPHA)}' if i == j else ''} AS a_{i}_{j}" for i in range(n) for j in range(n)]
+    entries += [f"sum(z_{i} * (y - mu)) AS a_{i}_{n}" for i in range(n)]
+    steps = []
+    for k in range(n):
+        cells = ", ".join(
+            f"a_{i}_{j} / a_{k}_{k} AS a_{i}_{j}" if i == k else f"a_{i}_{j} - a_{i}_{k} / a_{k}_{k} * a_{k}_{j} AS a_{i}_{j}" for i in range(n) for j in range(n + 1)
+        )
+        steps.append(f"step{k + 1} AS (SELECT {cells} FROM step{k})")
+    weights = " + ".join(f"w.a_{i}_{n} * h.z_{i}" for i in range(n))
+    return f"""
+, mom AS (SELECT {mom}, avg(Weekly_Sales) AS mu FROM train),
+z AS (SELECT {scaled("t")}, t.Weekly_Sales AS y, mu FROM train t, mom),
+step0 AS (SELECT {", ".join(entries)} FROM z),
+{("," + chr(10)).join(steps)},
+zh AS (SELECT h.Store, h.Date, h.Weekly_Sales, {scaled("h")}, mu FROM holdout h, mom),
+ridge_scored AS (SELECT h.Store, h.Date, h.Weekly_Sales, greatest(mu + {weights}, 0.0) AS pred_Ridge_Regression FROM zh h, step{n} w)"""
+
+
 def oracle_sql() -> dict[str, str]:
     fr = FEATURE_ROUND
     sq: dict[str, str] = {}
@@ -348,8 +381,11 @@ def oracle_sql() -> dict[str, str]:
 , res AS (SELECT (actual - predicted) / 1e6 AS x FROM forecasts),
 rng AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
                CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM res),
-counts AS (SELECT least(CAST(floor((x - lo) * (40.0 / (hi - lo))) AS INTEGER) + 1, 40) AS bin, count(*) AS n
-           FROM res, rng WHERE x IS NOT NULL GROUP BY 1)
+guess AS (SELECT x, lo, hi, (hi - lo) / 40.0 AS w, least(CAST(floor((x - lo) / (hi - lo) * 40.0) AS INTEGER), 39) AS g
+          FROM res, rng WHERE x IS NOT NULL),
+counts AS (SELECT g - CAST(x < lo + g * w AS INTEGER)
+                  + CAST(g < 39 AND x >= (CASE WHEN g + 1 = 40 THEN hi ELSE lo + (g + 1) * w END) AS INTEGER) + 1 AS bin, count(*) AS n
+           FROM guess GROUP BY 1)
 SELECT b.bin, round(lo + (b.bin - 1) * ((hi - lo) / 40.0), 6) AS bin_lo, round(lo + b.bin * ((hi - lo) / 40.0), 6) AS bin_hi,
        coalesce(c.n, 0) AS n
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 41)) b CROSS JOIN rng LEFT JOIN counts c ON b.bin = c.bin""",
@@ -371,4 +407,38 @@ FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 41)) b CROSS JOIN rng L
                      round(avg(eoq), 4) AS avg_eoq, count(*) FILTER (WHERE replenishment_alert) AS n_alerts FROM plan) i""",
                                         "plan", "store_weekly")
     sq["pipeline_baselines"] = sq["inventory_plan"]
+    sq["sales_distribution_by_type"] = _fix_leading_comma(with_ctes(_BOX + """
+SELECT q.Type, round(q1, 8) AS q1, round(median, 8) AS median, round(q3, 8) AS q3, round(min(v) FILTER (WHERE v >= lo AND v <= hi), 8) AS whisker_lo,
+       round(max(v) FILTER (WHERE v >= lo AND v <= hi), 8) AS whisker_hi, count(*) AS n, count(*) FILTER (WHERE NOT (v >= lo AND v <= hi)) AS n_outliers
+FROM quart q JOIN points p ON q.Type = p.Type GROUP BY q.Type, q1, median, q3""", "store_weekly"))
+    sq["sales_outliers_by_type"] = _fix_leading_comma(with_ctes(_BOX + """
+, spans AS (SELECT q.Type, min(v) FILTER (WHERE v >= lo AND v <= hi) AS a, max(v) FILTER (WHERE v >= lo AND v <= hi) AS b
+          FROM quart q JOIN points p ON q.Type = p.Type GROUP BY q.Type)
+SELECT p.Store, p.Date, p.Type, round(v, 8) AS sales_musd FROM points p JOIN spans s ON p.Type = s.Type WHERE v < a OR v > b""", "store_weekly"))
+    ridge = _ridge_ctes()
+    sq["forecast_ridge"] = _fix_leading_comma(with_ctes(ridge + """
+SELECT Store, Date, round(pred_Ridge_Regression, 2) AS pred_Ridge_Regression FROM ridge_scored""", "train", "holdout"))
+    three = ridge + f"""
+, long3 AS (SELECT Model, actual, predicted FROM long_preds
+          UNION ALL SELECT '{RIDGE_NAME}', Weekly_Sales, pred_Ridge_Regression FROM ridge_scored),
+metrics3 AS ({CTES["metrics"].split("AS (", 1)[1].rsplit(")", 1)[0].replace("long_preds", "long3")})"""
+    sq["evaluate_models_ridge"] = _fix_leading_comma(with_ctes(three + "\nSELECT Model, MAE, RMSE, MAPE, R2 FROM metrics3", "train", "holdout", "long_preds"))
+    ranked3 = CTES["ranked"].split("AS (", 1)[1].rsplit(")", 1)[0].replace("FROM metrics", "FROM metrics3")
+    sq["model_comparison_ridge"] = _fix_leading_comma(with_ctes(three + "\n" + ranked3, "train", "holdout", "long_preds"))
+    money = lambda x: f"'$' || format('{{:,}}', CAST(round({x}) AS BIGINT))"
+    sq["plan_summary_text"] = with_ctes(f"""SELECT CAST(line_no AS INTEGER) AS line_no, value FROM (
+        SELECT unnest(range(5)) AS line_no, unnest(['Stores planned: ' || n, 'Stores to replenish: ' || a, 'Mean safety stock: ' || {money("s")},
+          'Mean reorder point: ' || {money("r")}, 'Mean economic order: ' || {money("e")}]) AS value
+        FROM (SELECT count(*) AS n, count(*) FILTER (WHERE replenishment_alert) AS a, avg(safety_stock) AS s, avg(reorder_point) AS r, avg(eoq) AS e FROM plan))""", "plan")
+    sq["report_text"] = with_ctes(f"""SELECT CAST(line_no AS INTEGER) AS line_no, value FROM (
+        SELECT unnest([0, 1]) AS line_no, unnest(['Sales of ' || n || ' stores from ' || a || ' to ' || b, 'Forecasts are held against the last 12 weeks']) AS value
+        FROM (SELECT count(DISTINCT Store) AS n, min(Date) AS a, max(Date) AS b FROM store_weekly)
+        UNION ALL SELECT 100 + Rank, Rank || '. ' || Model || ': mean error ' || {money("MAE")} || ', root mean square ' || {money("RMSE")}
+          || ', relative ' || printf('%.2f', MAPE) || '%' FROM ranked
+        UNION ALL SELECT unnest([1000, 1001, 1002, 1003]), unnest([Model || ' has the least error, ' || printf('%.1f', gain) || '% under the worst',
+          'Stock for {_P.lead_time_weeks:g} weeks of delivery at a service level of {_P.service_level:.0%}',
+          'Safety stock ' || {money("s")} || ', reorder point ' || {money("r")} || ', economic order ' || {money("e")} || ' (means)',
+          al || ' stores should order early'])
+        FROM (SELECT Model, "RMSE_vs_Naive (%)" AS gain FROM ranked WHERE Rank = 1),
+             (SELECT avg(safety_stock) AS s, avg(reorder_point) AS r, avg(eoq) AS e, count(*) FILTER (WHERE replenishment_alert) AS al FROM plan))""", "plan", "ranked", "store_weekly")
     return sq

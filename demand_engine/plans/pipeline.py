@@ -1,22 +1,23 @@
 """The whole run as one function returning lazy DataFrames.
 
-Actions happen only where they must: model fitting, and two reliable
-checkpoints (the store-week table and the feature table) that cut the
-lineage back to the raw scan. Everything downstream reads those.
+Actions happen only where they must: model fitting, and the shared tables
+(Parquet in the shared folder) that cut the lineage back to the raw scan.
+Everything downstream reads those.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import HOLDOUT_WEEKS, MOVING_AVERAGE_WINDOW, RIDGE_ALPHA, InventoryParams, TreeParams
+from ..config import HOLDOUT_WEEKS, LAGS, MOVING_AVERAGE_WINDOW, RIDGE_ALPHA, ROLLING_WINDOWS, InventoryParams, TreeParams
 from ..operators import chartdata as charts
 from ..operators.baselines import MovingAverageForecaster, NaiveForecaster
-from ..operators.clean import build_store_weekly
+from ..operators.clean import build_store_weekly, duplicated_stores
 from ..operators.common import attach_scalars
 from ..operators.evaluation import compare_models, evaluate_models
 from ..operators.features import prepare_features
@@ -24,7 +25,7 @@ from ..operators.inventory import build_inventory_plan, compute_demand_stats, re
 from ..operators.ml import BoostedTreesForecaster, RidgeForecaster
 from ..operators.profiles import dataset_profile, split_profile
 from ..operators.split import cutoff_info, train_holdout_split
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 ALL_MODELS = ("naive", "moving_average", "ridge", "trees")
 BASELINE_MODELS = ("naive", "moving_average")
@@ -39,6 +40,10 @@ class PipelineConfig:
     inventory: InventoryParams = field(default_factory=InventoryParams)
     models: Sequence[str] = ALL_MODELS
     target: str = "Weekly_Sales"
+    lags: Sequence[int] = LAGS
+    windows: Sequence[int] = ROLLING_WINDOWS
+    fit_on: str = "all"  # or "train": rows that give the size moments
+    unique_stores: bool = False
 
 
 def make_forecasters(cfg: PipelineConfig) -> list:
@@ -81,28 +86,37 @@ def with_best_prediction(scored: DataFrame, ranked: DataFrame, models: list) ->
     return attach_scalars(scored, best).withColumn("predicted", pick).drop("_best")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write once to the shared checkpoint folder and read back (lineage cut)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def run_pipeline(sales: DataFrame, stores: DataFrame, cfg: PipelineConfig | None = None,
                  checkpoint: bool = True) -> dict[str, DataFrame]:
     """Every output of a run, as DataFrames.
 
     With ``checkpoint`` (the default) the shared intermediate tables are
-    written once to the checkpoint folder: the store-week and feature
+    written once as Parquet to the shared folder: the store-week and feature
     tables, the scored holdout, the ranked metrics and the plan. Each is
-    read by several outputs, which then cost one scan instead of re-running
-    their whole lineage. The cutoff is resolved once as a one-row value, so
-    the split filters are plain literals that reach the scan.
+    read by several outputs, which then cost one pruned scan instead of
+    re-running their whole lineage. The cutoff comes from the narrow
+    store-week table, once, so the split filters are literals that are
+    pushed into the feature scan.
+
+    Raises where ``cfg.unique_stores`` and a store has several rows; warns
+    where all sizes are equal (``size_norm`` is then missing everywhere).
     """
     cfg = cfg or PipelineConfig()
     keep = materialize if checkpoint else (lambda df: df)
+    if cfg.unique_stores and (twice := duplicated_stores(stores).take(5)):
+        raise ValueError(f"stores with several rows, e.g. {[r['Store'] for r in twice]}")
     store_weekly = keep(build_store_weekly(sales, stores, cfg.target))
-    features = keep(prepare_features(store_weekly))
-    cut = cutoff_info(features, cfg.holdout_weeks)
+    sizes = store_weekly.agg(F.min("Size").alias("lo"), F.max("Size").alias("hi")).first()
+    if sizes["lo"] is not None and sizes["lo"] == sizes["hi"]:
+        warnings.warn("all stores have one size: size_norm is missing and complete rows are empty", stacklevel=2)
+    windows = sorted({*cfg.windows, cfg.ma_window})
+    make = lambda fit_on=None: prepare_features(store_weekly, lags=cfg.lags, windows=windows, sales_col=cfg.target, fit_on=fit_on)
+    cut = cutoff_info(store_weekly, cfg.holdout_weeks)
+    if cfg.fit_on == "train":
+        limit = cut.select("cutoff_date").scalar()
+        features = keep(make(store_weekly.filter(F.col("Date") < limit)))
+    else:
+        features = keep(make())
     if checkpoint:
         row = cut.first()  # one row: the cutoff and the date before it
         cut = features.sparkSession.createDataFrame([row], cut.schema)
@@ -130,12 +144,13 @@ def run_pipeline(sales: DataFrame, stores: DataFrame, cfg: PipelineConfig | None
         "inventory_plan": plan,
         "replenishment_alerts": replenishment_alerts(plan),
         "inventory_summary": summarise_inventory(plan),
-        "demand_trend": charts.demand_trend_data(store_weekly),
-        "holiday_bands": charts.holiday_bands(store_weekly),
+        "demand_trend": charts.demand_trend_data(store_weekly, value_col=cfg.target),
+        "holiday_bands": charts.holiday_bands(store_weekly, value_col=cfg.target),
         "actual_vs_predicted": charts.actual_vs_predicted_data(forecasts, list(model_columns(models).values())),
         "model_comparison_chart": charts.model_comparison_data(ranked),
         "inventory_scatter": charts.inventory_scatter_data(plan),
-        "sales_by_type": charts.sales_distribution_by_type(store_weekly),
+        "sales_by_type": charts.sales_distribution_by_type(store_weekly, value_col=cfg.target),
+        "sales_outliers": charts.sales_outliers_by_type(store_weekly, value_col=cfg.target),
         "residuals": charts.residual_data(forecasts),
     }
     out["residual_histogram"] = charts.residual_histogram(out["residuals"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.formatting import money, percent
 from ..operators.evaluation import VS_WORST_COL
 from ..operators.inventory import summarise_inventory
 from ..operators.profiles import dataset_profile
@@ -20,31 +21,22 @@ def executive_summary(store_weekly: DataFrame, ranked: DataFrame, plan: DataFram
     return prof.crossJoin(best).crossJoin(inv).withColumn("holdout_weeks", F.lit(int(holdout_weeks)))
 
 
-def report_lines(summary: DataFrame, ranked: DataFrame, lead_time_weeks: float = 2, service_level: float = 0.95) -> DataFrame:
+def report_lines(summary: DataFrame, ranked: DataFrame, lead_time_weeks: float, service_level: float) -> DataFrame:
     """(line_no, value) rows of the text report. Inputs are one row per model
     plus one summary row, so this is small by construction."""
-    bar = "=" * 60
     head = summary.select(F.posexplode(F.array(
-        F.lit("DEMAND FORECASTING & INVENTORY PLANNING - EXECUTIVE SUMMARY"),
-        F.lit(bar), F.lit(""), F.lit("DATASET"),
-        F.format_string("  Period        : %s - %s", F.col("first_date").cast("string"), F.col("last_date").cast("string")),
-        F.format_string("  Stores        : %d", "n_stores"),
-        F.format_string("  Holdout weeks : %d", "holdout_weeks"),
-        F.lit(""), F.lit("FORECASTING RESULTS (holdout set)"),
+        F.format_string("Sales of %d stores from %s to %s", F.col("n_stores"), F.col("first_date").cast("string"), F.col("last_date").cast("string")),
+        F.format_string("Forecasts are held against the last %d weeks", "holdout_weeks"),
     )).alias("line_no", "value"))
     models = ranked.select(
         (F.lit(100) + F.col("Rank")).alias("line_no"),
-        F.format_string("  %-30s MAE=%10s  RMSE=%10s  MAPE=%5.1f%%", "Model",
-                        F.format_number("MAE", 0), F.format_number("RMSE", 0), "MAPE").alias("value"))
+        F.concat(F.format_string("%d. %s: mean error ", "Rank", "Model"), money("MAE"), F.lit(", root mean square "), money("RMSE"),
+                 F.lit(", relative "), percent("MAPE", 2)).alias("value"))
     tail = summary.select(F.posexplode(F.array(
-        F.lit(""),
-        F.format_string("  Best model    : %s", "best_model"),
-        F.format_string("  RMSE vs worst : -%.1f%%", "rmse_gain_pct"),
-        F.lit(""),
-        F.lit(f"INVENTORY PLANNING ({lead_time_weeks:g}-week lead time, {service_level:.0%} service level)"),
-        F.format_string("  Avg safety stock     : $%s", F.format_number("avg_safety_stock", 0)),
-        F.format_string("  Avg reorder point    : $%s", F.format_number("avg_reorder_point", 0)),
-        F.format_string("  Avg EOQ              : $%s", F.format_number("avg_eoq", 0)),
-        F.format_string("  Replenishment alerts : %d stores", "n_alerts"),
+        F.concat(F.format_string("%s has the least error, ", "best_model"), percent("rmse_gain_pct"), F.lit(" under the worst")),
+        F.lit(f"Stock for {lead_time_weeks:g} weeks of delivery at a service level of {service_level:.0%}"),
+        F.concat(F.lit("Safety stock "), money("avg_safety_stock"), F.lit(", reorder point "), money("avg_reorder_point"),
+                 F.lit(", economic order "), money("avg_eoq"), F.lit(" (means)")),
+        F.format_string("%d stores should order early", "n_alerts"),
     )).alias("line_no", "value")).withColumn("line_no", F.col("line_no") + 1000)
     return head.unionByName(models).unionByName(tail)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,11 +47,12 @@ def get_spark(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a shared folder.
+    """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; that setting wins.
-    Only when nothing is configured (unit tests on one machine) is a
-    private scratch folder made.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a local master,
+    where driver and executors are one process, is a private folder made when
+    nothing is named; elsewhere that is an error, since the executors could
+    not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="demand-engine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -67,3 +71,33 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+_INTERMEDIATES: list[str] = []
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder, deleted by ``release``."""
+    path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    _INTERMEDIATES.append(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back.
+
+    It cuts the lineage, any executor can read the files, and later reads
+    still prune columns and push filters down.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written; call it
+    once the results that read them are written elsewhere."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _INTERMEDIATES:
+        path = jvm.org.apache.hadoop.fs.Path(_INTERMEDIATES.pop())
+        path.getFileSystem(conf).delete(path, True)

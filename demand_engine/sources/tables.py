@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.calendar import iso_week, week_start
 from ..functions.nulls import nan_to_null
@@ -97,20 +98,26 @@ def _first_readable(spark: SparkSession, paths: Sequence[str], reader) -> DataFr
     raise FileNotFoundError(f"none of {list(paths)} exists")
 
 
-def read_sales_csv(spark: SparkSession, data_dir: str, name: str = "train.csv") -> DataFrame:
+def _read_by_name(spark: SparkSession, data_dir: str, name: str, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` from a CSV file, found by its header: other
+    columns and any order are fine, an absent column is an error."""
     def reader(p: str) -> DataFrame:
-        return spark.read.schema(schemas.SALES).option("header", True).option("dateFormat", "yyyy-MM-dd") \
-            .option("enforceSchema", False).csv(p)
+        return spark.read.option("header", True).option("nullValue", "NA").csv(p)
 
     df = _first_readable(spark, candidate_paths(data_dir, name), reader)
+    absent = [f.name for f in schema if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"{name} lacks columns {absent}; it has {df.columns}")
+    return df.select(*[F.trim(F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_sales_csv(spark: SparkSession, data_dir: str, name: str = "train.csv") -> DataFrame:
+    df = _read_by_name(spark, data_dir, name, schemas.SALES)
     return df.withColumn("Weekly_Sales", nan_to_null("Weekly_Sales"))
 
 
 def read_stores_csv(spark: SparkSession, data_dir: str, name: str = "stores.csv") -> DataFrame:
-    def reader(p: str) -> DataFrame:
-        return spark.read.schema(schemas.STORES).option("header", True).option("enforceSchema", False).csv(p)
-
-    return _first_readable(spark, candidate_paths(data_dir, name), reader)
+    return _read_by_name(spark, data_dir, name, schemas.STORES)
 
 
 def load_raw_csv(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..operators.clean import STORE_WEEK_KEYS, clean_sales
 
 
-def store_weekly_stream(sales_stream: DataFrame, stores: DataFrame, lateness: str = "14 days",
+def store_weekly_stream(sales_stream: DataFrame, stores: DataFrame, lateness: str,
                         sales_col: str = "Weekly_Sales") -> DataFrame:
-    """Same rows as ``build_store_weekly`` on a streaming ``sales`` frame.
+    """``build_store_weekly`` on a streaming ``sales`` frame: the same rows as
+    long as no row arrives more than ``lateness`` behind the latest date seen;
+    later ones are dropped by the watermark.
 
     The static ``stores`` side is joined without state (stream-static inner
     join); the sum is keyed by the five store-week keys plus the week start as

@@ -39,7 +39,7 @@ def _box_rows(spark):
 
 def test_box_plot_exact_matches_numpy(spark):
     rows, df = _box_rows(spark)
-    got = {r["Type"]: r for r in charts.sales_distribution_by_type(df, exact=True).collect()}
+    got = {r["Type"]: r for r in charts.sales_distribution_by_type(df).collect()}
     for t in ("A", "B"):
         v = np.array([x for k, x in rows if k == t]) / 1e6
         q1, med, q3 = np.percentile(v, [25, 50, 75])
@@ -49,17 +49,25 @@ def test_box_plot_exact_matches_numpy(spark):
         assert r["q1"] == pytest.approx(q1) and r["median"] == pytest.approx(med) and r["q3"] == pytest.approx(q3)
         assert r["whisker_lo"] == pytest.approx(inside.min()) and r["whisker_hi"] == pytest.approx(inside.max())
         assert r["n_outliers"] == len(v) - len(inside)
-    outliers = charts.sales_outliers_by_type(df, exact=True).count()
+    outliers = charts.sales_outliers_by_type(df).count()
     assert outliers == sum(got[t]["n_outliers"] for t in got)
 
 
-def test_box_plot_approx_close_to_exact(spark):
-    rows, df = _box_rows(spark)
-    ex = {r["Type"]: r for r in charts.sales_distribution_by_type(df, exact=True).collect()}
-    ap = {r["Type"]: r for r in charts.sales_distribution_by_type(df, exact=False).collect()}
-    for t in ex:
-        for k in ("q1", "median", "q3"):
-            assert ap[t][k] == pytest.approx(ex[t][k], rel=0.05)
+def test_box_plot_counts_ties_and_single_rows(spark):
+    d = dt.date(2020, 1, 6)
+    rows = [(i, d, "A", 5.0) for i in range(50)] + [(50, d, "A", 7.0), (51, d, "B", 3.0), (52, d, "C", None)]
+    df = spark.createDataFrame(rows, "Store long, Date date, Type string, Weekly_Sales double")
+    got = {r["Type"]: r for r in charts.quartiles_by_type(df).collect()}
+    assert set(got) == {"A", "B"}
+    assert got["A"]["n"] == 51 and got["A"]["q1"] == got["A"]["q3"] == pytest.approx(5e-6)
+    assert got["B"]["median"] == pytest.approx(3e-6)
+
+
+def test_histogram_values_on_edges(spark):
+    for values, bins in (([0.0, 0.3, 0.6, 0.7, 1.0], 10), ([i / 7 for i in range(8)], 7), ([-0.1 * i for i in range(31)], 30)):
+        df = spark.createDataFrame([(v,) for v in values], "r double")
+        h = charts.histogram(df, "r", bins).orderBy("bin").toPandas()
+        assert h["n"].tolist() == np.histogram(values, bins=bins)[0].tolist()
 
 
 def test_bubble_size_floor_and_null(spark):
@@ -76,7 +84,7 @@ def test_streaming_store_weekly_equals_batch(spark, sf_small, tmp_path):
     li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
     stream = spark.readStream.schema(li.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_small)
     stores = tables.load_stores(spark, sf_small)
-    out = store_weekly_stream(tables.sales_from_lineitem(stream), stores)
+    out = store_weekly_stream(tables.sales_from_lineitem(stream), stores, "3650 days")
     q = (out.writeStream.outputMode("update").format("memory").queryName("sw_stream")
          .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(300)

@@ -36,6 +36,17 @@ def test_csv_fallback_to_parent_and_nan_is_null(spark, tmp_path):
     assert sw == {(1, "2010-02-05"): 100.5, (2, "2010-02-05"): 7.25}
 
 
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "train.csv").write_text("Dept,IsHoliday,Store,Weekly_Sales,Date\n4,FALSE,1,2.5,2010-02-05\n5,FALSE,1,1.5,2010-02-05\n")
+    (tmp_path / "stores.csv").write_text("Size,Store,Type,Region\n10,1,A,x\n")
+    sales, stores = load_raw_csv(spark, str(tmp_path))
+    assert sales.columns == ["Store", "Date", "Weekly_Sales", "IsHoliday"]
+    assert [r["Weekly_Sales"] for r in build_store_weekly(sales, stores).collect()] == [4.0]
+    (tmp_path / "train.csv").write_text("Store,Date,IsHoliday\n1,2010-02-05,FALSE\n")
+    with pytest.raises(ValueError, match="Weekly_Sales"):
+        read_sales_csv(spark, str(tmp_path))
+
+
 def test_csv_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_sales_csv(spark, str(tmp_path / "nowhere"))
