@@ -3,11 +3,15 @@ verification, exact confirmation and connected components.
 
 Documents with equal shingle sets are one class from the start; classes are
 banded. In a bucket every class is compared with the bucket's smallest id
-(a star, so the rows grow with the bucket, not its square). Candidates are
-verified by their signatures, then on the full sets. Buckets that still
-hold several components are worked off in steps: members are compared at
-growing distances in the bucket, while components differ, until every pair
-in it is either in one component or tested.
+(a star, so rows grow with the bucket, not its square); each class's best
+candidate by signature is confirmed on the full sets, and components are
+built by alternating large-star and small-star.
+
+What the stars leave apart is worked off exactly: in buckets that still hold
+several components, members outside the bucket's largest component are held
+against all members of other components, in blocks of bounded size, by
+signature; the candidates found are confirmed on the full sets, which are
+sent once to each group of candidates.
 
 ``BANDS`` x ``ROWS`` minima miss a pair at the threshold 0.8 with a chance
 of 3e-6 (less above it); nothing else loses a link.
@@ -26,7 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as tx
@@ -37,6 +42,10 @@ BANDS, ROWS = 32, 5
 #: Pairs whose signatures agree in fewer places can't reach the threshold
 #: (at 0.8 the expected share is 0.8; 0.6 lies more than six deviations below).
 SIGNATURE_SLACK = 0.2
+#: Members of a bucket that meet in one task, from each side.
+BLOCK = 512
+#: Candidate pairs of a group that meet in one task.
+PAIR_BLOCK = 50_000
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,37 +84,66 @@ def _sets(piece: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
         yield shingle_set(hashes[a:b], k)
 
 
+def _banded(low: np.ndarray) -> np.ndarray:
+    """Band keys (a row per document) from minima."""
+    by_band = low.reshape(len(low), BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(tx.mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(low), BANDS)).copy()
+    for r in range(ROWS):
+        key = tx.mix(key * np.uint64(0x9E3779B97F4A7C15) + by_band[:, :, r])
+    return key
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, n_shingles, digest, signature) per row; no signature without words."""
+    """(id, n_shingles, digest, signature, bands) per row. The signature has
+    a byte of each minimum; it and the bands are null without words."""
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tx.pieces(batches, "text"):
-            n, digest, signature = [], [], []
+            n, digest, low = [], [], []
             for s in _sets(piece, k):
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                signature.append(minima(s, BANDS * ROWS).tobytes() if len(s) else None)
+                low.append(minima(s, BANDS * ROWS))
+            low = np.stack(low)
+            bands = _banded(low).astype("<u8")
+            signature = [x.tobytes() if m else None for x, m in zip(low.astype("u1"), n, strict=True)]
+            keys = [x.view(np.int64).tolist() if m else None for x, m in zip(bands, n, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signature, pa.binary())], ["id", "n_shingles", "digest", "signature"]
+                [piece.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signature, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "n_shingles", "digest", "signature", "bands"],
             )
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n_shingles long, digest binary, signature binary")
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n_shingles long, digest binary, signature binary, bands array<long>")
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, members): the sorted shingle hashes of the wanted documents."""
-    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).join(ids, "id", "left_semi")
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, members): the sorted shingle hashes of the wanted classes (id,
+    rep, digest), one row each. Texts are compressed before the shuffle."""
+    src = docs.select(docs[id_col].cast("long").alias("rep"), docs[text_col].alias("text")).where("rep is not null")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for piece in tx.pieces(batches, "text"):
-            sets = [s.tobytes() for s in _sets(piece, k)]
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["id", "digest", "members"])
+            texts = [pack.compress(x.as_buffer() if x.is_valid else b"") for x in piece.column("text").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([piece.column("rep"), pa.array(texts, pa.binary())], ["rep", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                texts = [unpack.decompress(x.as_py()) for x in part.column("packed")]
+                sets = [x.tobytes() for x in _sets(pa.record_batch([pa.array(texts, pa.large_binary())], ["text"]), k)]
+                # a row that shares the id but has another set is not the class
+                own = pa.array([xxhash.xxh3_128_digest(x) == d for x, d in zip(sets, part.column("digest").to_pylist(), strict=True)])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "members"]).filter(own)
 
-    return src.mapInArrow(run, "id long, digest binary, members binary")
+    found = src.mapInArrow(squeeze, "rep long, packed binary").join(wanted, "rep").select("id", "digest", "packed")
+    return found.mapInArrow(run, "id long, members binary").dropDuplicates(["id"])
 
 
-def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
+def agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) whose signatures agree in ``least`` places, with ``same``."""
     left = sigs.select(F.col("id").alias("a"), F.col("signature").alias("sig_a"))
     right = sigs.select(F.col("id").alias("b"), F.col("signature").alias("sig_b"))
@@ -114,119 +152,143 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            same = np.array([(np.frombuffer(x.as_py(), "<u4") == np.frombuffer(y.as_py(), "<u4")).sum() for x, y in zip(batch.column("sig_a"), batch.column("sig_b"), strict=True)], np.int32)
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(-1, BANDS * ROWS) for c in ("sig_a", "sig_b"))
+            same = (x == y).sum(1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], ["a", "b", "same"]).filter(pa.array(same >= least))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, same int")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach ``similarity`` percent."""
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
+def _linked(p: np.ndarray, q: np.ndarray, similarity: int) -> bool:
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= similarity * (len(p) + len(q) - both)
+
+
+def confirmed(best: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) among pairs with one ``a`` for each ``b``: each set goes
+    to its centre's, so a pair costs one set."""
+    centres = sets.join(best.select(F.col("a").alias("id")).distinct(), "id").select(F.col("id").alias("a"), F.col("members").alias("set_a"))
+    own = best.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * both >= similarity * (len(p) + len(q) - both))
+            good = [_linked(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), similarity) for x, y in zip(batch.column("set_a"), batch.column("members"), strict=True)]
             if good:
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(good))
 
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "u long, v long")
-
-
-def _split(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """The pairs whose ends lie in different components so far."""
-    if comps is None:
-        return pairs
-    left = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
-
-
-def _sized(similarity: int) -> F.Column:
-    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
+    return own.join(centres, "a").select("a", "b", "set_a", "members").mapInArrow(run, "u long, v long")
+
+
+def _named(rows: DataFrame, comps: DataFrame, column: str, out: str) -> DataFrame:
+    """``rows`` with the component of the id in ``column`` (itself, if none)."""
+    of = comps.select(F.col("node").alias(column), F.col("component").alias(out))
+    return rows.join(of, column, "left").withColumn(out, F.coalesce(out, column))
+
+
+def apart_in_buckets(members: DataFrame, classes: DataFrame, comps: DataFrame, similarity: int, least: int) -> DataFrame:
+    """Candidates (a, b) in different components: members of a bucket outside
+    its largest component against all others there, in blocks."""
+    named = _named(members.select("key", "id", "n"), comps, "id", "comp")
+    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    buckets = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("main_size"))
+    block = F.lit(BLOCK)
+    buckets = buckets.where("k > 1").select("key", "main", F.ceil(F.col("m") / block).cast("int").alias("nr"), F.ceil((F.col("m") - F.col("main_size")) / block).cast("int").alias("nl"))
+    rows = materialise(named.join(buckets, "key").join(classes.select("id", "signature"), "id"), "apart")
+    spread = F.xxhash64("id", F.lit(3))
+    left = rows.where("comp <> main").select("*", F.pmod(spread, "nl").alias("l"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r"))
+    right = rows.select("*", F.pmod(spread, "nr").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("l"))
+    columns = ["key", F.col("l").cast("int").alias("l"), F.col("r").cast("int").alias("r"), "id", "n", "comp", "signature"]
+
+    def compare(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
+        sx, sy = (np.frombuffer(b"".join(t.column("signature").to_pylist()), "u1").reshape(-1, BANDS * ROWS) for t in (x, y))
+        (ix, nx, cx), (iy, ny, cy) = (tuple(t.column(c).to_numpy() for c in ("id", "n", "comp")) for t in (x, y))
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(len(ix)):
+            same = (sy == sx[i]).sum(1)
+            good = (same >= least) & (cy != cx[i]) & (np.minimum(ny, nx[i]) * 100 >= np.maximum(ny, nx[i]) * similarity)
+            out_a.append(np.minimum(iy[good], ix[i]))
+            out_b.append(np.maximum(iy[good], ix[i]))
+        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
+
+    keys = ("key", "l", "r")
+    pairs = left.select(*columns).groupBy(*keys).cogroup(right.select(*columns).groupBy(*keys)).applyInArrow(compare, "a long, b long")
+    return pairs.distinct()
+
+
+def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (u, v) of any pairs (a, b): pairs are grouped by connection, and
+    each group gets every set it needs once for each ``PAIR_BLOCK`` pairs."""
+    label = materialise(components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    named = pairs.join(label.select(F.col("node").alias("a"), F.col("component").alias("g")), "a")
+    parts = materialise(named.groupBy("g").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("int").alias("parts")), "parts")
+    dealt = named.join(parts, "g").select("g", F.pmod(F.xxhash64("a"), "parts").cast("int").alias("p"), "a", "b")
+    members = sets.join(label.select(F.col("node").alias("id"), F.col("component").alias("g")), "id").join(parts, "g")
+    members = members.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "id", "members")
+
+    def run(key: tuple, todo: pa.Table, own: pa.Table) -> pa.Table:
+        got = {i: np.frombuffer(x.as_buffer(), "<u8") for i, x in zip(own.column("id").to_pylist(), own.column("members"), strict=True)}
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = x = root.get(up, up)
+            return x
+
+        out = []
+        for a, b in zip(todo.column("a").to_pylist(), todo.column("b").to_pylist(), strict=True):
+            # pairs that are connected here already need no comparison
+            if find(a) != find(b) and _linked(got[a], got[b], similarity):
+                out.append((a, b))
+                root[find(a)] = find(b)
+        return pa.table({"u": pa.array([x[0] for x in out], pa.int64()), "v": pa.array([x[1] for x in out], pa.int64())})
+
+    return dealt.groupBy("g", "p").cogroup(members.groupBy("g", "p")).applyInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: int = 80) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     drawn = materialise(sketches(docs, id_col, text_col, shingle), "sketches")
     usable = drawn.where("id is not null and n_shingles > 0").withColumn("id", F.col("id").cast("long"))
-    classes = materialise(usable.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "signature")).alias("r")).select("digest", "r.*"), "classes")
+    # a class of equal sets is numbered by its digest and held by its smallest id
+    reps = usable.groupBy("digest").agg(F.min("id").alias("id"))
+    classes = usable.join(reps, ["digest", "id"], "left_semi").dropDuplicates(["digest"]).withColumn("rep", F.col("id")).withColumn("id", F.xxhash64("digest"))
+    classes = materialise(classes, "classes")
+    sigs = classes.select("id", "signature")
 
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("signature"), i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    banded = classes.select("id", F.col("n_shingles").alias("n"), F.explode(bands).alias("key"))
-    centres = banded.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("id", "n")).alias("c")).where("m > 1")
-    members = materialise(banded.join(centres, "key").select("key", "id", "n", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "buckets")
+    banded = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).repartition("key")
+    centres = banded.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("centre"), F.min_by("n", "id").alias("centre_n")).where("m > 1")
+    members = materialise(banded.join(centres, "key").select("key", "id", "n", "centre", "centre_n"), "buckets")
 
-    pairs = members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"), F.col("centre_n").alias("na"), F.col("n").alias("nb")).where(_sized(similarity))
-    sigs = classes.select("id", "signature")
+    sized = F.least("n", "centre_n") * 100 >= F.greatest("n", "centre_n") * similarity
     least = int(BANDS * ROWS * (similarity / 100 - SIGNATURE_SLACK))
-    pairs = materialise(_agreeing(pairs.select("a", "b").distinct(), sigs, least), "pairs")
-
-    # the sets of all documents that share a bucket with another of about their size
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    all_sets = _full_sets(docs, wanted, id_col, text_col, shingle)
-    sets = materialise(_one_per_id(all_sets, classes), "sets")
-
-    # first the best candidate of each document, then what still lies apart
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b")
-    edges = materialise(_same_id(usable, classes).union(_confirmed(best, sets, similarity)), "links")
-    comps = materialise(components(edges), "components")
-    more = materialise(_confirmed(_split(pairs, comps), sets, similarity), "links")
-    if not more.isEmpty():
-        edges = edges.union(more)
-        comps = materialise(components(edges), "components")
-    comps = _rest_of_buckets(members, classes, docs, edges, comps, id_col, text_col, shingle, similarity, least)
-
-    root = classes.select("digest", F.col("id").alias("rep")).join(comps, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = drawn.join(root, "digest", "left")
+    stars = members.where((F.col("id") != F.col("centre")) & sized).select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = agreeing(stars, sigs, least)
+    best = materialise(pairs.groupBy("b").agg(F.max_by("a", F.col("same")).alias("a")), "best")
+
+    wanted = classes.select("id", "rep", "digest").join(members.select("id").distinct(), "id")
+    sets = materialise(full_sets(docs, wanted, id_col, text_col, shingle), "sets")
+    links = materialise(_same_id(usable).union(confirmed(best, sets, similarity)), "links")
+    comps = materialise(components(links), "components")
+    rest = materialise(apart_in_buckets(members, classes, comps, similarity, least), "rest")
+    more = materialise(confirmed_in_groups(rest, sets, similarity), "links")
+    comps = materialise(components(links.union(more)), "components")
+
+    # the smallest id of all rows in a component, through their classes
+    of_class = _named(reps.select(F.xxhash64("digest").alias("id"), "digest", F.col("id").alias("rep")), comps, "id", "component")
+    lowest = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
+    root = of_class.join(lowest, "component").select("digest", "component_id")
+    out = drawn.select("id", "n_shingles", "digest").join(root, "digest", "left")
     alone = F.col("id").isNull() | (F.col("n_shingles") == 0)
-    component = F.when(alone, F.col("id")).otherwise(F.col("component")).cast(drawn.schema["id"].dataType)
+    component = F.when(alone, F.col("id")).otherwise(F.col("component_id")).cast(drawn.schema["id"].dataType)
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
 
 
-def _same_id(usable: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between classes through rows that share an id (repeated ids
-    with different texts): class representatives to that id."""
-    rows = usable.select("id", "digest").distinct()
-    shared = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    reps = classes.select("digest", F.col("id").alias("rep"))
-    return rows.join(shared, "id").join(reps, "digest").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-
-
-def _one_per_id(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of rows that share an id, the ones whose set represents a class."""
-    return sets.join(classes.select("digest", "id"), ["digest", "id"]).dropDuplicates(["digest", "id"]).select("id", "members")
-
-
-def _rest_of_buckets(members: DataFrame, classes: DataFrame, docs: DataFrame, edges: DataFrame, comps: DataFrame, id_col: str, text_col: str, shingle: int, similarity: int, least: int) -> DataFrame:
-    """Compare what star pairs left apart: in buckets that hold several
-    components, members at distance 1, 2-3, 4-7, ... in the bucket's order."""
-    sigs = classes.select("id", "signature")
-    far = 1
-    while True:
-        named = members.join(comps, members["id"] == comps["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-        apart = named.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(f"lo <> hi and m > {max(2, far)}").select("key")
-        rest = materialise(named.join(apart, "key").withColumn("rn", F.row_number().over(Window.partitionBy("key").orderBy("n", "id"))), "apart")
-        if rest.isEmpty():
-            return comps
-        steps = rest.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.explode(F.transform(F.sequence(F.lit(far), F.lit(2 * far - 1)), lambda d: F.col("rn") + d)).alias("rn"))
-        other = rest.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), "rn")
-        pairs = steps.join(other, ["key", "rn"]).where("ca <> cb").where(_sized(similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = materialise(_agreeing(pairs, sigs, least), "pairs")
-        if not pairs.isEmpty():
-            wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            sets = materialise(_one_per_id(_full_sets(docs, wanted, id_col, text_col, shingle), classes), "sets")
-            more = materialise(_confirmed(pairs, sets, similarity), "links")
-            if not more.isEmpty():
-                edges = edges.union(more)
-                comps = materialise(components(edges), "components")
-        far *= 2
+def _same_id(usable: DataFrame) -> DataFrame:
+    """Links between classes that share an id (repeated ids with different
+    texts): each to the least of that id's classes."""
+    rows = usable.select("id", F.xxhash64("digest").alias("u")).distinct()
+    least = rows.groupBy("id").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1").select("id", "v")
+    return rows.join(least, "id").select("u", "v")
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: int = 80) -> DataFrame:

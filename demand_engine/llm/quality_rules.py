@@ -33,7 +33,7 @@ _BOILERPLATE = re.compile(
     rb"enable javascript|lorem ipsum|click here|subscribe (?:now|to our)|sign (?:up|in) |log ?in to|powered by|skip to (?:main )?content|"
     rb"read more\b|share (?:this|on) |follow us|back to top"
 )
-_TERMINAL = re.compile(rb"(?:[.!?:;]|\xe2\x80\xa6|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)[\"')\]\xe2\x80\x9d\xc2\xbb]*$")
+_TERMINAL = re.compile(rb"(?:[.!?:;]|\xe2\x80\xa6|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)(?:[\"')\]]|\xe2\x80\x9d|\xc2\xbb)*$")
 
 
 @dataclass(frozen=True)

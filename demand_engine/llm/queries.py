@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import classifier, decontaminate, licenses, linededup, lm, minhash, mixing, quality_rules, suffixes, warc
+from .oracle import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,4 +69,3 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup)}
-ORACLE_SQL: dict[str, str] = {}
