@@ -117,7 +117,8 @@ def test_trees_learn_signal_and_are_deterministic(spark):
     np.testing.assert_allclose(p1[m1.output_col], p2[m2.output_col])
     mse = ((p1[m1.output_col] - p1["Weekly_Sales"]) ** 2).mean()
     assert mse < p1["Weekly_Sales"].var() * 0.5
-    imp = dict(m1.feature_importances())
+    imp = {f: gain for f, gain, _ in m1.feature_importances()}
+    assert all((splits > 0) == (gain > 0) for _, gain, splits in m1.feature_importances())
     assert set(imp) == {"sales_lag_1", "Store"} and abs(sum(imp.values()) - 1) < 1e-9
 
 
