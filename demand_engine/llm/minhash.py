@@ -7,11 +7,10 @@ banded. In a bucket every class is compared with the bucket's smallest id
 candidate by signature is confirmed on the full sets, and components are
 built by alternating large-star and small-star.
 
-What the stars leave apart is worked off exactly: in buckets that still hold
-several components, members outside the bucket's largest component are held
-against all members of other components, in blocks of bounded size, by
-signature; the candidates found are confirmed on the full sets, which are
-sent once to each group of candidates.
+What the stars leave apart is worked off exactly: the members of buckets
+that still hold several components meet in a prefix-filtered set join, and
+the candidates it finds are confirmed on the full sets, which are sent once
+to each group of candidates.
 
 ``BANDS`` x ``ROWS`` minima miss a pair at the threshold 0.8 with a chance
 of 3e-6 (less above it); nothing else loses a link.
@@ -42,8 +41,6 @@ BANDS, ROWS = 32, 5
 #: Pairs whose signatures agree in fewer places can't reach the threshold
 #: (at 0.8 the expected share is 0.8; 0.6 lies more than six deviations below).
 SIGNATURE_SLACK = 0.2
-#: Members of a bucket that meet in one task, from each side.
-BLOCK = 512
 #: Candidate pairs of a group that meet in one task.
 PAIR_BLOCK = 50_000
 
@@ -185,34 +182,46 @@ def _named(rows: DataFrame, comps: DataFrame, column: str, out: str) -> DataFram
     return rows.join(of, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def apart_in_buckets(members: DataFrame, classes: DataFrame, comps: DataFrame, similarity: int, least: int) -> DataFrame:
-    """Candidates (a, b) in different components: members of a bucket outside
-    its largest component against all others there, in blocks."""
-    named = _named(members.select("key", "id", "n"), comps, "id", "comp")
-    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    buckets = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("main_size"))
-    block = F.lit(BLOCK)
-    buckets = buckets.where("k > 1").select("key", "main", F.ceil(F.col("m") / block).cast("int").alias("nr"), F.ceil((F.col("m") - F.col("main_size")) / block).cast("int").alias("nl"))
-    rows = materialise(named.join(buckets, "key").join(classes.select("id", "signature"), "id"), "apart")
-    spread = F.xxhash64("id", F.lit(3))
-    left = rows.where("comp <> main").select("*", F.pmod(spread, "nl").alias("l"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r"))
-    right = rows.select("*", F.pmod(spread, "nr").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("l"))
-    columns = ["key", F.col("l").cast("int").alias("l"), F.col("r").cast("int").alias("r"), "id", "n", "comp", "signature"]
-
-    def compare(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
-        sx, sy = (np.frombuffer(b"".join(t.column("signature").to_pylist()), "u1").reshape(-1, BANDS * ROWS) for t in (x, y))
-        (ix, nx, cx), (iy, ny, cy) = (tuple(t.column(c).to_numpy() for c in ("id", "n", "comp")) for t in (x, y))
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i in range(len(ix)):
-            same = (sy == sx[i]).sum(1)
-            good = (same >= least) & (cy != cx[i]) & (np.minimum(ny, nx[i]) * 100 >= np.maximum(ny, nx[i]) * similarity)
-            out_a.append(np.minimum(iy[good], ix[i]))
-            out_b.append(np.maximum(iy[good], ix[i]))
-        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
-
-    keys = ("key", "l", "r")
-    pairs = left.select(*columns).groupBy(*keys).cogroup(right.select(*columns).groupBy(*keys)).applyInArrow(compare, "a long, b long")
-    return pairs.distinct()
+def open_documents(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(id, comp) of the classes in buckets that hold several components."""
+    named = _named(members.select("key", "id"), comps, "id", "comp")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    return named.join(mixed, "key").select("id", "comp").distinct()
+
+
+def apart_by_prefix(open_docs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Candidates (a, b) in different components by a prefix-filtered set
+    join, which loses no link: with shingles ordered by rarity, two sets that
+    reach the similarity share one of the rarest few of each. Shingles that
+    only one set holds fill a prefix without making rows, so documents that
+    are like nothing enough drop out before any pair is made."""
+    held = materialise(open_docs.join(sets, "id").withColumn("n", (F.length("members") / 8).cast("long")), "open")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sizes = [len(x.as_buffer()) // 8 for x in part.column("members")]
+                token = np.frombuffer(b"".join(part.column("members").to_pylist()), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("id").to_numpy(), sizes)), pa.array(token)], ["id", "token"])
+
+    tokens = held.select("id", "members").mapInArrow(run, "id long, token long")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # a set's own shingles only: bounded by the document
+    shared = tokens.join(counts, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    ranked = materialise(held.select("id", "comp", "n").join(shared, "id"), "ranked")
+    alone = F.col("n") - F.size("shared")
+    probe = F.col("n") - F.floor((F.col("n") * similarity + 99) / 100) + 1
+    index = F.col("n") - F.floor((F.col("n") * (2 * similarity) + (99 + similarity)) / (100 + similarity)) + 1
+
+    def prefix(length: F.Column, names: dict[str, str]) -> DataFrame:
+        rows = ranked.withColumn("s", F.explode(F.slice("shared", F.lit(1), F.greatest(length - alone, F.lit(0)).cast("int"))))
+        return rows.select(F.col("s.token").alias("token"), *(F.col(c).alias(x) for c, x in names.items()))
+
+    long, short = prefix(probe, {"id": "a", "comp": "ca", "n": "na"}), prefix(index, {"id": "b", "comp": "cb", "n": "nb"})
+    ordered = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
+    pairs = long.join(short, "token").where(ordered & (F.col("ca") != F.col("cb")) & (F.col("nb") * 100 >= F.col("na") * similarity))
+    return pairs.select("a", "b").distinct()
 
 
 def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -269,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = materialise(full_sets(docs, wanted, id_col, text_col, shingle), "sets")
     links = materialise(_same_id(usable).union(confirmed(best, sets, similarity)), "links")
     comps = materialise(components(links), "components")
-    rest = materialise(apart_in_buckets(members, classes, comps, similarity, least), "rest")
+    rest = materialise(apart_by_prefix(open_documents(members, comps), sets, similarity), "rest")
     more = materialise(confirmed_in_groups(rest, sets, similarity), "links")
     comps = materialise(components(links.union(more)), "components")
 
