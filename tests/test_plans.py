@@ -74,7 +74,9 @@ def test_reports_do_not_scan_the_fact_table_again(spark, sf_small):
         assert "lineitem" not in _physical(se.queries()[name](spark, sf_small))
 
 
-def test_no_shared_folder_is_an_error_off_a_local_master(spark, monkeypatch):
+def test_no_shared_folder_is_an_error_off_a_local_master():
+    import types
+
     import pytest
 
     from demand_engine import session
@@ -87,7 +89,7 @@ def test_no_shared_folder_is_an_error_off_a_local_master(spark, monkeypatch):
 
     class Session:
         sparkContext = Context()
-        conf = spark.conf
+        conf = types.SimpleNamespace(get=lambda key, default=None: default)
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
