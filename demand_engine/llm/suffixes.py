@@ -40,8 +40,10 @@ from pyspark.sql import functions as F
 from . import textops as tx
 from .scratch import materialise
 
-#: Bytes of text for each bucket.
+#: Bytes of text for each bucket, and for each piece that a task hashes at a
+#: time (a dozen 8-byte arrays of that length).
 BUCKET_BYTES = 16 << 20
+PIECE_BYTES = 2 << 20
 _NO_ID = np.iinfo(np.int64).max
 _P = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = tx.mix(np.arange(1, 257, dtype=np.uint64) * _P)
@@ -182,7 +184,7 @@ def suffix_digits(src: DataFrame, depth: int, k: int, buckets: int) -> DataFrame
     1, spans already known to repeat, by their document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in tx.pieces(batches, "text"):
+        for piece in tx.pieces(batches, "text", PIECE_BYTES):
             buf, off = tx.text_bytes(piece.column("text"))
             got = contexts(buf, off, depth, k)
             keys = {c: piece.column(c).to_numpy() for c in _KEYS}
@@ -216,11 +218,14 @@ def _joined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 
-def context_groups(suffixes: DataFrame) -> DataFrame:
+def context_groups(drawn: DataFrame) -> DataFrame:
     """Buckets of suffixes become packed rows by document: 1, spans that
-    repeat; 2, contexts of groups that the last digits must order."""
+    repeat; 2, contexts of groups that the last digits must order. Spans that
+    are known already pass through, so suffixes are hashed and moved once."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() == 1:
+            return pa.table({"kind": table.column("kind"), "db": table.column("bucket"), "blob": table.column("blob")})
         rows = _unpack(table.column("blob").to_pylist(), _SUFFIXES)
         order, least = _resolve(rows)
         rows = {c: v[order] for c, v in rows.items()}
@@ -236,7 +241,7 @@ def context_groups(suffixes: DataFrame) -> DataFrame:
             out += [(2, *x) for x in _dealt(rows, _SUFFIXES, rows["db"])]
         return pa.table({"kind": pa.array([x[0] for x in out], pa.int32()), "db": pa.array([x[1] for x in out], pa.int32()), "blob": pa.array([x[2] for x in out], pa.binary())})
 
-    return suffixes.groupBy("bucket").applyInArrow(run, "kind int, db int, blob binary")
+    return drawn.groupBy("kind", "bucket").applyInArrow(run, "kind int, db int, blob binary")
 
 
 def _packed_texts(src: DataFrame) -> DataFrame:
@@ -385,11 +390,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ident = F.coalesce(docs[id_col].cast("long"), F.lit(int(_NO_ID)))
     th = F.xxhash64(docs[text_col], docs[id_col].isNull())
     src = docs.select(ident.alias("id"), th.alias("th"), F.pmod(F.xxhash64(ident, th), F.lit(buckets)).cast("int").alias("db"), docs[text_col].alias("text"))
-    drawn = suffix_digits(src, depth, k, buckets)
-    drawn = materialise(drawn, "suffixes")
-    groups = materialise(context_groups(drawn.where("kind = 0").select("bucket", "blob")), "groups")
+    groups = materialise(context_groups(suffix_digits(src, depth, k, buckets)), "groups")
     texts = _packed_texts(src)
     late = last_digits(texts, groups.where("kind = 2").select("db", "blob"), depth, k, buckets)
-    known = drawn.where("kind = 1").select(F.col("bucket").alias("db"), "blob").union(groups.where("kind = 1").select("db", "blob"))
+    known = groups.where("kind = 1").select("db", "blob")
     out = keep_rest(texts, known.union(late), with_text)
     return out.select(F.when(F.col("id") != int(_NO_ID), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))
