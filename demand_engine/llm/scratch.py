@@ -1,39 +1,9 @@
-"""Intermediate tables in the shared folder that the cluster names."""
+"""Intermediate tables in the shared folder that the cluster names: Parquet
+that any executor can read again, so a lost executor costs a re-read."""
 
 from __future__ import annotations
 
-import uuid
+from ..session import fresh_path, release
+from ..session import materialize as materialise
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ..session import shared_path
-
-_WRITTEN: list[str] = []
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder."""
-    path = shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    _WRITTEN.append(path)
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    It cuts the lineage with files every executor can read, so a lost
-    executor costs a re-read, and the reader still prunes columns.
-    """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete every intermediate table written by this process. Call it
-    after the results that read them are written."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+__all__ = ["fresh_path", "materialise", "release"]
