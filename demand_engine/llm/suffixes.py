@@ -149,8 +149,13 @@ _CUT = "db int, blob binary"
 
 
 def _pack(rows: dict[str, np.ndarray], kinds: dict[str, str], pick: np.ndarray) -> bytes:
-    """Columns one after another; documents' keys repeat, so they pack well."""
-    return zstandard.ZstdCompressor(level=1).compress(len(pick).to_bytes(8, "little") + b"".join(rows[c][pick].astype(t).tobytes() for c, t in kinds.items()))
+    """Columns one after another. Bounds are kept as distances, which are
+    mostly equal; documents' keys repeat; so both pack well."""
+    own = {c: rows[c][pick] for c in kinds}
+    own["hi"] = own["hi"].astype(np.int64) - own["lo"].astype(np.int64)
+    if "at" in own:
+        own["lo"] = own["at"].astype(np.int64) - own["lo"].astype(np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(len(pick).to_bytes(8, "little") + b"".join(own[c].astype(t).tobytes() for c, t in kinds.items()))
 
 
 def _unpack(blobs: list[bytes], kinds: dict[str, str]) -> dict[str, np.ndarray]:
@@ -158,9 +163,15 @@ def _unpack(blobs: list[bytes], kinds: dict[str, str]) -> dict[str, np.ndarray]:
     for blob in blobs:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n, p = int.from_bytes(raw[:8], "little"), 8
+        own = {}
         for c, t in kinds.items():
-            out[c].append(np.frombuffer(raw, t, n, p))
+            own[c] = np.frombuffer(raw, t, n, p)
             p += n * np.dtype(t).itemsize
+        if "at" in own:
+            own["lo"] = own["at"] - own["lo"]
+        own["hi"] = own["lo"] + own["hi"]
+        for c in kinds:
+            out[c].append(own[c])
     return {c: np.concatenate(v) for c, v in out.items()}
 
 
