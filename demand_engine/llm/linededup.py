@@ -1,16 +1,19 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by chunks of two neighbouring lines.
 
-Each line gets a hash, a rolling hash over the last two line hashes chooses
-chunk ends, so an inserted or lost line moves only the chunks next to it.
-Chunks with at least two lines that hold words are counted over all
-documents; where a hash repeats, the bytes of its chunks are compared, and
-every chunk but the first of equal ones (smallest id, then position) is cut
-out of its document. Single-line chunks stay.
+Lines that hold a word are numbered, and every two that follow each other
+make a chunk (blank lines between them included), so chunks overlap and no
+boundary can fall badly: a passage of n lines that repeats holds n - 1
+chunks that do, whatever stands around it. A rolling hash over the two line
+hashes is the chunk's key; chunks are counted by it over all documents, and
+where it repeats, their bytes are compared. Every line that lies in a chunk
+with an equal one before it (smallest id, then position) is cut out of its
+document. A single line that repeats stays.
 
 Cases: null or empty texts have no chunks and stay; a null id comes last
 among keepers; rows with equal id and text are one document written twice
-and are cut alike; within one document later equal chunks go too; an empty
-table gives no rows; extra columns are kept, whatever their names.
+and are cut alike; within one document later equal chunks go too, unless
+they share a line with the first; an empty table gives no rows; extra
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,37 +29,16 @@ from pyspark.sql import functions as F
 from . import textops as tx
 from .scratch import materialise
 
-MIN_LINES, MEAN_LINES, MAX_LINES = 2, 4, 64
+MIN_LINES = 2
 
 
 def chunk_spans(text: bytes) -> list[tuple[int, int, int]]:
-    """(start, end, lines) of the chunks, without their last newline; only
-    chunks with at least two lines that hold a word."""
-    lines = text.split(b"\n")
-    if len(lines) < MIN_LINES:
-        return []
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
-    rolled = hashes.copy()
-    rolled[1:] += hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
-    wants_end = (tx.mix(rolled) % np.uint64(MEAN_LINES) == 0).tolist()
-    cuts, begun = [], 0
-    for i, end in enumerate(wants_end):
-        n = i + 1 - begun
-        if n >= MAX_LINES or (end and n >= MIN_LINES):
-            cuts.append(i + 1)
-            begun = i + 1
-    if begun < len(lines):
-        if len(lines) - begun < MIN_LINES and cuts:  # a short tail joins the last chunk
-            cuts[-1] = len(lines)
-        else:
-            cuts.append(len(lines))
-    ends = np.cumsum([len(x) + 1 for x in lines]).tolist()
-    full = [bool(x.split()) for x in lines]
+    """(start, end, line number) of the lines that hold a word."""
     out, at = [], 0
-    for cut in cuts:
-        if sum(full[at:cut]) >= 2:
-            out.append((ends[at - 1] if at else 0, ends[cut - 1] - 1, cut - at))
-        at = cut
+    for n, line in enumerate(text.split(b"\n")):
+        if line.strip():
+            out.append((at, at + len(line), n))
+        at += len(line) + 1
     return out
 
 
@@ -65,29 +47,35 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, idx, start, end, lines, h): a row per multi-line chunk."""
+    """(id, th, idx, start, second, end, lines, h): a row per two neighbouring
+    lines; ``second`` is where the other line starts, ``lines`` how many
+    there are before it."""
     src = docs.select(*_row_key(docs, id_col, text_col), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tx.pieces(batches, "text"):
             buf, off = tx.text_bytes(piece.column("text"))
             raw = buf.tobytes()
-            rows, idx, start, end, lines, h = [], [], [], [], [], []
+            spans, hashes, count = [], [], np.zeros(piece.num_rows, np.int64)
             for i in range(piece.num_rows):
                 text = raw[off[i] : off[i + 1]]
-                for k, (a, b, n) in enumerate(chunk_spans(text)):
-                    rows.append(i)
-                    idx.append(k)
-                    start.append(a)
-                    end.append(b)
-                    lines.append(n)
-                    h.append(xxhash.xxh3_64_intdigest(text[a:b]))
-            keys = [piece.column(c).take(pa.array(rows, pa.int64())) for c in ("id", "th")]
-            rest = [pa.array(idx, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(lines, pa.int32()), pa.array(np.array(h, np.uint64).view(np.int64))]
-            yield pa.RecordBatch.from_arrays([*keys, *rest], ["id", "th", "idx", "start", "end", "lines", "h"])
+                own = chunk_spans(text)
+                if len(own) >= MIN_LINES:
+                    spans += own
+                    hashes += [xxhash.xxh3_64_intdigest(text[a:b]) for a, b, _ in own]
+                    count[i] = len(own)
+            at = np.array(spans, np.int64).reshape(-1, 3)
+            line = np.array(hashes, np.uint64)
+            row = np.repeat(np.arange(len(count)), count)
+            idx = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            k = np.flatnonzero(row[1:] == row[:-1])
+            h = tx.mix(line[k] * np.uint64(0x9E3779B97F4A7C15) + line[k + 1])
+            keys = [piece.column(c).take(pa.array(row[k])) for c in ("id", "th")]
+            rest = [pa.array(idx[k], pa.int32()), *(pa.array(x) for x in (at[k, 0], at[k + 1, 0], at[k + 1, 1])), pa.array(at[k + 1, 2] - at[k, 2], pa.int32()), pa.array(h.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*keys, *rest], ["id", "th", "idx", "start", "second", "end", "lines", "h"])
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, th long, idx int, start long, end long, lines int, h long")
+    return src.mapInArrow(run, f"id {kind}, th long, idx int, start long, second long, end long, lines int, h long")
 
 
 def _same_row(left: DataFrame, right: DataFrame, id_name: str = "id") -> Column:
@@ -100,20 +88,24 @@ def _place() -> Column:
 
 
 def repeated_chunks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """All chunks, and (its_id, its_th, cuts): the spans to cut from each
-    document that has any."""
+    """All chunks, and (its_id, its_th, cuts): the lines to cut from each
+    document that has any, in order."""
     found = materialise(chunks(docs, id_col, text_col), "chunks")
     places = found.select("id", "th", "idx", "h").distinct()  # equal rows count once
     often = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    wanted = found.join(often, "h").groupBy("id", "th").agg(F.collect_set(F.struct("idx", "start", "end", "lines", "h")).alias("spans"))
+    wanted = found.join(often, "h").groupBy("id", "th").agg(F.collect_set(F.struct("idx", "start", "second", "end", "lines", "h")).alias("spans"))
     wanted = wanted.withColumnsRenamed({"id": "its_id", "th": "its_th"})
     texts = docs.select(*_row_key(docs, id_col, text_col), docs[text_col].cast("binary").alias("bytes"))
     named = texts.join(wanted, _same_row(texts, wanted)).select("id", "th", "bytes", F.explode("spans").alias("s"))
     body = F.substring("bytes", (F.col("s.start") + 1).cast("int"), (F.col("s.end") - F.col("s.start")).cast("int"))
     rows = materialise(named.select("id", "th", "s.*", body.alias("body")), "repeats")
     first = rows.groupBy("h", "body").agg(F.min(_place()).alias("first"))
-    later = rows.join(first, ["h", "body"]).where(_place() != F.col("first"))
-    cuts = later.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("start", "end", "lines"))).alias("cuts"))
+    elsewhere = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")))
+    later = rows.join(first, ["h", "body"]).where(elsewhere | (F.col("idx") >= F.col("first.idx") + MIN_LINES))
+    # the first line with the blank ones after it, and the second
+    parts = F.array(F.struct("start", (F.col("second") - 1).alias("end"), "lines"), F.struct(F.col("second").alias("start"), "end", F.lit(1).alias("lines")))
+    gone = later.select("id", "th", F.explode(parts).alias("s")).groupBy("id", "th", "s.start").agg(F.max("s.end").alias("end"), F.max("s.lines").alias("lines"))
+    cuts = gone.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("start", "end", "lines"))).alias("cuts"))
     return found, cuts.withColumnsRenamed({"id": "its_id", "th": "its_th"})
 
 
@@ -127,15 +119,17 @@ def cut_text(text: Column, cuts: Column) -> Column:
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its bytes, what was cut, and a digest of the rest."""
+    """One row per document: its bytes, what was cut (``n_removed_chunks`` are
+    runs of lines), and a digest of the rest."""
     _, cuts = repeated_chunks(docs, id_col, text_col)
     rows = docs.select(*_row_key(docs, id_col, text_col), docs[text_col].alias("text"))
     kept = F.coalesce(cut_text(F.col("text"), F.col("cuts")), F.lit(""))
     spans = F.coalesce(F.col("cuts"), F.array().cast("array<struct<start:bigint,end:bigint,lines:int>>"))
     out = rows.join(cuts, _same_row(rows, cuts), "left").select("id", "text", spans.alias("cuts"), kept.alias("kept"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    runs = F.size(F.array_except(F.col("cuts")["start"], F.transform("cuts", lambda s: s["end"] + 1))).cast("long")
     return out.select(
-        F.col("id").alias(id_col), n_bytes.alias("n_bytes"), F.size("cuts").cast("long").alias("n_removed_chunks"),
+        F.col("id").alias(id_col), n_bytes.alias("n_bytes"), runs.alias("n_removed_chunks"),
         F.aggregate("cuts", F.lit(0).cast("long"), lambda n, s: n + s["lines"]).alias("n_removed_lines"),
         (n_bytes - F.octet_length("kept")).alias("n_removed_bytes"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )

@@ -104,6 +104,29 @@ def linededup_hash(spark, text, seen={}):  # noqa: B006
     return seen[text]
 
 
+@pytest.mark.parametrize("n", [2, 3, 5, 10])
+def test_line_dedup_finds_short_passages(spark, n):
+    rnd = random.Random(n)
+    own = lambda: [f"own {rnd.random()} of its document" for _ in range(rnd.randrange(1, 12))]
+    rows, expected = [], {}
+    for p in range(15):
+        passage = [f"passage {n} {p} line {k} {rnd.random()}" for k in range(n)]
+        if p % 3 == 0:
+            passage.insert(1, "")  # blank lines go with the passage
+        for i in (2 * p, 2 * p + 1):
+            before, after = own(), [*own(), "a line found everywhere", *own()]  # which stays: it repeats alone
+            rows.append((i, "\n".join(before + passage + after)))
+            expected[i] = (i % 2, len(passage) * (i % 2), hashlib.sha256("\n".join(before + passage * (1 - i % 2) + after).encode()).hexdigest())
+    got = linededup.dedup_report(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_removed_chunks"], r["n_removed_lines"], r["kept_sha256"]) for r in got} == expected
+
+
+def test_line_dedup_of_repeating_lines_within_a_document(spark):
+    rows = [(1, "x\nx\nx"), (2, "y\ny\ny\ny\ny"), (3, "a\nb\na\nb\na\nb"), (4, "p\nq\nr"), (5, "q\nr\nend"), (6, "p\n\nq")]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: "x\nx\nx", 2: "y\ny\n", 3: "a\nb\n", 4: "p\nq\nr", 5: "end", 6: "p\n\nq"}
+
+
 def _needles(items, n=13):
     out = {}
     for i, t in items:
