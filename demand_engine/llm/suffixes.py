@@ -144,7 +144,7 @@ def _runs(*keys: np.ndarray) -> list[tuple[int, int]]:
 #: Columns of packed rows and how they are packed.
 _KEYS = {"id": "<i8", "th": "<i8", "db": "<i4"}
 _SPANS = {**_KEYS, "lo": "<u4", "hi": "<u4"}
-_SUFFIXES = {**_SPANS, "at": "<u4", "first": "<u8", "second": "<u4", "second_top": "<u2"}
+_SUFFIXES = {**_SPANS, "at": "<u4", "first": "<u8", "second": "<u4", "second_top": "<u2", "step": "<u4", "more": "<u4"}
 _CUT = "db int, blob binary"
 
 
@@ -215,20 +215,29 @@ def suffix_digits(src: DataFrame, depth: int, k: int, buckets: int) -> DataFrame
 
 
 def _joined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Overlapping spans of one context in one document become one: in
-    periodic text a document repeats a context at every period."""
+    """Overlapping spans of one context in one document that follow each
+    other at equal distances become one row: in periodic text a document
+    repeats a context at every period. ``at`` is the first one's; ``more``
+    others follow, each ``step`` bytes after the one before it."""
     if not len(rows["lo"]):
-        return rows
-    same = ~_starts(rows["first"], rows["second"], rows["second_top"], rows["id"], rows["th"])
-    apart = ~same
+        return rows | {"step": rows["lo"], "more": rows["lo"]}
+    keys = ("first", "second", "second_top", "id", "th")
+    once = _starts(*(rows[c] for c in keys), rows["lo"])  # rows that are written twice
+    rows = {c: v[once] for c, v in rows.items()}
+    apart = _starts(*(rows[c] for c in keys))
     apart[1:] |= rows["lo"][1:] > rows["hi"][:-1]
-    starts = np.flatnonzero(apart)
+    step = np.zeros(len(apart), np.int64)
+    step[1:] = np.where(apart[1:], 0, np.diff(rows["lo"]))
+    new = apart.copy()
+    new[1:] |= ~apart[:-1] & (step[1:] != step[:-1])
+    starts = np.flatnonzero(new)
     out = {c: v[starts] for c, v in rows.items()}
     out["hi"] = np.maximum.reduceat(rows["hi"], starts)
+    out["more"] = np.diff(np.append(starts, len(new))) - 1
+    out["step"] = np.where(out["more"] > 0, step[np.minimum(starts + 1, len(step) - 1)], 0)
     return out
 
 
-
 def context_groups(drawn: DataFrame) -> DataFrame:
     """Buckets of suffixes become packed rows by document: 1, spans that
     repeat; 2, contexts of groups that the last digits must order. Spans that
@@ -361,11 +370,21 @@ def _compared(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int)
         least = _least_in_group(_starts(first[order], h[0][order], h[1][order]), ids[order])
         hit = have[order][ids[order] > least]
         if len(hit):
-            lo = rows["at"][hit].astype(np.int64) - offset
-            out.append({c: rows[c][hit] for c in _KEYS} | {"lo": lo, "hi": lo + depth})
+            out.append(_windows(rows, hit, offset, depth))
     return out
 
 
+def _windows(rows: dict[str, np.ndarray], hit: np.ndarray, offset: int, depth: int) -> dict[str, np.ndarray]:
+    """The windows ``offset`` bytes before the anchors of the rows ``hit``,
+    at all places that the rows stand for."""
+    step, more = rows["step"][hit].astype(np.int64), rows["more"][hit].astype(np.int64)
+    each = np.where(step > depth, more + 1, 1)  # closer ones make one span
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    hit, step, more = np.repeat(hit, each), np.repeat(step, each), np.repeat(more, each)
+    lo = rows["at"][hit].astype(np.int64) - offset + nth * step
+    return {c: rows[c][hit] for c in _KEYS} | {"lo": lo, "hi": lo + depth + np.where(step > depth, 0, more * step)}
+
+
 def keep_rest(texts: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
     """(id, th, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row."""
 

@@ -220,3 +220,12 @@ def test_suffix_dedup_of_long_and_many_copies(spark):
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffixes.remove_repeats(documents(spark, rows)).collect()}
     n = len(text)
     assert got == {0: (n, 0, 0), **{i: (n, n, 1) for i in range(1, 5)}, 9: (n // 2, n // 2, 1), 10: (308, 300, 1)}
+
+
+@pytest.mark.parametrize("unit", ["-", "=-", "<p> ", "".join(chr(97 + i % 26) + str(i) for i in range(24))])
+def test_suffix_dedup_of_periodic_runs(spark, unit):
+    run = lambda n: (unit * (n // len(unit) + 1))[:n]
+    rows = [(1, "one " + run(60) + " begins"), (2, "two " + run(1000) + " goes on"), (3, run(300)), (4, "4" + run(75) + "x" + run(500))]
+    for docs in (rows, rows + [(2, rows[1][1])], rows[1:]):
+        got = suffixes.remove_repeats(documents(spark, docs)).collect()
+        assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == _brute_windows(docs, 50)
