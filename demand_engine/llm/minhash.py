@@ -10,8 +10,8 @@ built by alternating large-star and small-star.
 What the stars leave apart is worked off exactly: in buckets that still hold
 several components, members outside the bucket's largest component are held
 against all members of other components, in blocks of bounded size, by
-signature; the candidates found are confirmed on the full sets, which are
-sent once to each group of candidates.
+signature; the candidates found are confirmed on the full sets, again in
+blocks by both ends, and a block gets only the sets that its pairs name.
 
 ``BANDS`` x ``ROWS`` minima miss a pair at the threshold 0.8 with a chance
 of 3e-6 (less above it); nothing else loses a link.
@@ -44,8 +44,10 @@ BANDS, ROWS = 32, 5
 SIGNATURE_SLACK = 0.2
 #: Members of a bucket that meet in one task, from each side.
 BLOCK = 512
-#: Candidate pairs of a group that meet in one task.
+#: Candidate pairs of a group that meet in one task, and bytes of sets from
+#: each side.
 PAIR_BLOCK = 50_000
+SET_BYTES = 16 << 20
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,14 +218,21 @@ def apart_in_buckets(members: DataFrame, classes: DataFrame, comps: DataFrame, s
 
 
 def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (u, v) of any pairs (a, b): pairs are grouped by connection, and
-    each group gets every set it needs once for each ``PAIR_BLOCK`` pairs."""
+    """Links (u, v) of any pairs (a, b): pairs are grouped by connection, the
+    members of a large group dealt into blocks, and the pairs of two blocks
+    meet in one task with the sets that they name."""
     label = materialise(components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
-    named = pairs.join(label.select(F.col("node").alias("a"), F.col("component").alias("g")), "a")
-    parts = materialise(named.groupBy("g").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("int").alias("parts")), "parts")
-    dealt = named.join(parts, "g").select("g", F.pmod(F.xxhash64("a"), "parts").cast("int").alias("p"), "a", "b")
-    members = sets.join(label.select(F.col("node").alias("id"), F.col("component").alias("g")), "id").join(parts, "g")
-    members = members.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "id", "members")
+    of = label.select(F.col("node").alias("id"), F.col("component").alias("g"))
+    named = pairs.join(of.withColumnRenamed("id", "a"), "a")
+    n_pairs = named.groupBy("g").agg(F.count("*").alias("n_pairs"))
+    sizes = of.join(sets.select("id", F.octet_length("members").alias("size")), "id").groupBy("g").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    # either keeps the pairs of two blocks to PAIR_BLOCK, also where one member has most pairs
+    by_pairs = F.least(F.ceil(F.col("n") / max(1, int(PAIR_BLOCK**0.5))), F.ceil(F.col("n_pairs") / PAIR_BLOCK))
+    blocks = materialise(n_pairs.join(sizes, "g").select("g", F.greatest(by_pairs, F.ceil(F.col("size") / SET_BYTES)).cast("int").alias("blocks")), "blocks")
+    x, y = (F.pmod(F.xxhash64(c, F.lit(5)), "blocks").cast("int") for c in ("a", "b"))
+    dealt = materialise(named.join(blocks, "g").select("g", F.least(x, y).alias("l"), F.greatest(x, y).alias("r"), "a", "b"), "dealt")
+    members = dealt.select("g", "l", "r", F.explode(F.array("a", "b")).alias("id")).distinct().join(sets, "id")
+    members = members.select(*(F.col(c).alias(c) for c in ("g", "l", "r")), "id", "members")  # not the columns of dealt
 
     def run(key: tuple, todo: pa.Table, own: pa.Table) -> pa.Table:
         got = {i: np.frombuffer(x.as_buffer(), "<u8") for i, x in zip(own.column("id").to_pylist(), own.column("members"), strict=True)}
@@ -242,7 +251,8 @@ def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> D
                 root[find(a)] = find(b)
         return pa.table({"u": pa.array([x[0] for x in out], pa.int64()), "v": pa.array([x[1] for x in out], pa.int64())})
 
-    return dealt.groupBy("g", "p").cogroup(members.groupBy("g", "p")).applyInArrow(run, "u long, v long")
+    keys = ("g", "l", "r")
+    return dealt.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: int = 80) -> DataFrame:

@@ -3,8 +3,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from demand_engine.llm import licenses, minhash, mixing
 from demand_engine.llm.components import components
@@ -89,6 +91,30 @@ def test_near_duplicates_in_one_large_group(spark):
     assert got == root
 
 
+@pytest.mark.parametrize("shape", ["star", "dense"])
+def test_candidates_of_a_large_group_meet_in_bounded_blocks(spark, monkeypatch, shape):
+    monkeypatch.setattr(minhash, "PAIR_BLOCK", 100)
+    sets = {i: sorted(range(i, i + 20)) for i in range(200)}  # linked up to two apart
+    pairs = [(0, i) for i in range(1, 200)] if shape == "star" else [(i, j) for i in sets for j in range(i + 1, min(i + 40, 200))]
+    seen = []
+    apply = PandasCogroupedOps.applyInArrow
+
+    def spy(self, func, schema):
+        for own in (self._gd1._df, self._gd2._df):
+            keys = [c for c in own.columns if c not in ("a", "b", "id", "members")]
+            seen.append(max(r["count"] for r in own.groupBy(*keys).count().collect()))
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", spy)
+    rows = spark.createDataFrame([(i, np.array(x, "<u8").tobytes()) for i, x in sets.items()], "id long, members binary")
+    got = minhash.confirmed_in_groups(spark.createDataFrame(pairs, "a long, b long"), rows, 80).collect()
+    linked = [(a, b) for a, b in pairs if abs(a - b) <= 2]
+    assert {(r["u"], r["v"]) for r in got} <= set(linked)
+    assert _roots(sets, [tuple(r) for r in got]) == _roots(sets, linked)
+    most_pairs, most_sets = seen
+    assert most_pairs <= 200 and most_sets <= (140 if shape == "star" else 50)  # of 199 or more pairs, and of 200 sets
+
+
 DOCS = "doc_id long, text string, source string"
 
 
