@@ -14,6 +14,9 @@ are ordered only through ``depth`` bytes and by most-significant digits:
 3. Groups that still hold several contexts are ordered through the last
    digits: for each offset of the anchor, windows with equal bytes form a
    group, and those in a larger document than the group's smallest repeat.
+   Where an anchor has very many contexts, its windows are dealt by their
+   own hashes instead, and the least documents are aggregated before they
+   are shuffled.
 
 Rows move as packed arrays, a row for each piece and bucket; the buckets'
 number follows the bytes of the input. Digits are 96-bit (context) and
@@ -44,6 +47,11 @@ from .scratch import materialise
 #: time (a dozen 8-byte arrays of that length).
 BUCKET_BYTES = 16 << 20
 PIECE_BYTES = 2 << 20
+#: Contexts of one anchor above which its windows are dealt by their own
+#: hashes, and rows that a task compares at a time.
+HOT_CONTEXTS = 20_000
+#: Parts of a document bucket that have their windows hashed apart.
+HOT_PARTS = 16
 _NO_ID = np.iinfo(np.int64).max
 _P = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = tx.mix(np.arange(1, 257, dtype=np.uint64) * _P)
@@ -240,8 +248,10 @@ def _joined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def context_groups(drawn: DataFrame) -> DataFrame:
     """Buckets of suffixes become packed rows by document: 1, spans that
-    repeat; 2, contexts of groups that the last digits must order. Spans that
-    are known already pass through, so suffixes are hashed and moved once."""
+    repeat; 2, contexts of groups that the last digits must order; 3, those
+    of groups with over ``HOT_CONTEXTS``, by part of a bucket. Spans that are known already pass
+    through, so suffixes are hashed and moved once."""
+    most = HOT_CONTEXTS
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() == 1:
@@ -258,7 +268,11 @@ def context_groups(drawn: DataFrame) -> DataFrame:
             high = -_least_in_group(new, -rows["id"])
             open_ = low != high  # contexts of several documents
             rows = {c: v[open_] for c, v in rows.items()}
-            out += [(2, *x) for x in _dealt(rows, _SUFFIXES, rows["db"])]
+            starts = np.flatnonzero(_starts(rows["first"])) if len(rows["id"]) else np.empty(0, np.int64)
+            size = np.diff(np.append(starts, len(rows["id"])))
+            hot = np.repeat(size > most, size)
+            for kind, mine, to in ((2, ~hot, rows["db"]), (3, hot, rows["db"] * HOT_PARTS + rows["th"] % HOT_PARTS)):
+                out += [(kind, *x) for x in _dealt({c: v[mine] for c, v in rows.items()}, _SUFFIXES, to[mine])]
         return pa.table({"kind": pa.array([x[0] for x in out], pa.int32()), "db": pa.array([x[1] for x in out], pa.int32()), "blob": pa.array([x[2] for x in out], pa.binary())})
 
     return drawn.groupBy("kind", "bucket").applyInArrow(run, "kind int, db int, blob binary")
@@ -292,29 +306,74 @@ def _sorted(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {c: v[order] for c, v in rows.items()}
 
 
+def _bodies(docs: pa.Table, wanted: pa.Table, depth: int, k: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The wanted contexts of some documents, and their bytes."""
+    reach = depth - k
+    rows = _sorted(_unpack(wanted.column("blob").to_pylist(), _SUFFIXES))
+    where = _by_document(rows)
+    body = np.zeros((len(rows["id"]), reach + depth), np.uint8)
+    lo, hi = rows["lo"].astype(np.int64), np.zeros(len(rows["id"]), np.int64)
+    for i, t, text in _texts(docs) if where else ():
+        own = where.get((i, t))
+        if own is None:
+            continue
+        raw = np.frombuffer(text, np.uint8)
+        for r in range(own.start, own.stop):
+            at = int(rows["at"][r])
+            a, b = max(0, at - reach), min(len(raw), at + depth)
+            body[r, reach - (at - a) : reach + (b - at)] = raw[a:b]
+            lo[r], hi[r] = a, b
+    return rows | {"lo": lo, "hi": hi}, body
+
+
+def hot_digits(texts: DataFrame, hot_contexts: DataFrame, depth: int, k: int) -> DataFrame:
+    """Spans (packed by document) of windows that repeat inside groups with
+    very many contexts: a row for each window, grouped by the window's hash."""
+    most = HOT_CONTEXTS
+    kinds = {"h0": np.int64, "h1": np.int64, "db": np.int32, "id": np.int64, "th": np.int64, "lo": np.int64, "hi": np.int64}
+
+    def cut(key: tuple, docs: pa.Table, wanted: pa.Table) -> pa.Table:
+        rows, body = _bodies(docs, wanted, depth, k)
+        out: dict[str, list[np.ndarray]] = {c: [np.empty(0, t)] for c, t in kinds.items()}
+        for at in range(0, len(body), most):
+            part = {c: v[at : at + most] for c, v in rows.items()}
+            for offset, have, h in _window_hashes(part, body[at : at + most], depth, k):
+                which = np.arange(len(have))
+                own = {c: part[c][have] for c in (*_KEYS, "at", "step", "more")}
+                many = np.repeat(which, _times(own, which, depth))
+                own = _windows(own, which, offset, depth) | {"h0": h[0][many].view(np.int64), "h1": h[1][many].view(np.int64)}
+                for c, t in kinds.items():
+                    out[c].append(own[c].astype(t))
+        return pa.table({c: pa.array(np.concatenate(v)) for c, v in out.items()})
+
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        rows = {c: table.column(c).to_numpy() for c in _SPANS}
+        rows = _sorted(rows)
+        doc = np.cumsum(_starts(rows["id"], rows["th"])) << 40  # spans that touch become one
+        till = np.maximum.accumulate(doc + rows["hi"])
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc + rows["lo"])[1:] > till[:-1]
+        starts = np.flatnonzero(new)
+        rows = {c: v[starts] for c, v in rows.items()} | {"hi": (till - doc)[np.append(starts[1:], len(doc)) - 1]}
+        return pa.table({"db": pa.array([key[0].as_py()], pa.int32()), "blob": pa.array([_pack(rows, _SPANS, np.arange(len(starts)))], pa.binary())})
+
+    part = F.pmod("th", F.lit(HOT_PARTS)).cast("int")
+    wanted = materialise(hot_contexts.select("db").distinct(), "hot")
+    texts = texts.withColumn("db", F.col("db") * HOT_PARTS + part).join(wanted, "db", "left_semi")
+    windows = materialise(texts.groupBy("db").cogroup(hot_contexts.groupBy("db")).applyInArrow(cut, "h0 long, h1 long, db int, id long, th long, lo long, hi long"), "windows")
+    least = windows.groupBy("h0", "h1").agg(F.min("id").alias("least"))
+    late = windows.join(least, ["h0", "h1"]).where("id > least").select(*_SPANS)
+    return late.groupBy("db", part).applyInArrow(packed, _CUT)
+
+
 def last_digits(texts: DataFrame, open_contexts: DataFrame, depth: int, k: int, buckets: int) -> DataFrame:
     """Spans (packed by document) of windows that repeat inside groups with
     several contexts."""
-    reach = depth - k
-    width = reach + depth
+    width = 2 * depth - k
 
     def cut(key: tuple, docs: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[tuple[int, bytes, bytes]] = []
-        rows = _sorted(_unpack(wanted.column("blob").to_pylist(), _SUFFIXES))
-        where = _by_document(rows)
-        body = np.zeros((len(rows["id"]), width), np.uint8)
-        lo, hi = rows["lo"].astype(np.int64), np.zeros(len(rows["id"]), np.int64)
-        for i, t, text in _texts(docs) if where else ():
-            own = where.get((i, t))
-            if own is None:
-                continue
-            raw = np.frombuffer(text, np.uint8)
-            for r in range(own.start, own.stop):
-                at = int(rows["at"][r])
-                a, b = max(0, at - reach), min(len(raw), at + depth)
-                body[r, reach - (at - a) : reach + (b - at)] = raw[a:b]
-                lo[r], hi[r] = a, b
-        rows |= {"lo": lo, "hi": hi}
+        rows, body = _bodies(docs, wanted, depth, k)
         bucket = (rows["first"] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         pack = zstandard.ZstdCompressor(level=1)
@@ -333,7 +392,7 @@ def last_digits(texts: DataFrame, open_contexts: DataFrame, depth: int, k: int,
         starts = np.flatnonzero(_starts(rows["first"][order])) if len(order) else np.empty(0, np.int64)
         at = 0
         while at < len(order):
-            later = starts[starts >= at + 20_000]
+            later = starts[starts >= at + HOT_CONTEXTS]
             to = int(later[0]) if len(later) else len(order)
             spans += _compared({c: v[order[at:to]] for c, v in rows.items()}, body[order[at:to]], depth, k)
             at = to
@@ -345,9 +404,9 @@ def last_digits(texts: DataFrame, open_contexts: DataFrame, depth: int, k: int,
     return cut_rows.groupBy("bucket").applyInArrow(compare, _CUT)
 
 
-def _compared(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int) -> list[dict[str, np.ndarray]]:
-    """For each offset of the anchor: windows with equal bytes, and those in
-    larger documents than the smallest."""
+def _window_hashes(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """For each offset of the anchor: the rows that have the window, and the
+    two halves of its hash."""
     reach = depth - k
     n = len(body)
     prefix = np.zeros((2, n, body.shape[1] + 1), np.uint64)
@@ -358,13 +417,19 @@ def _compared(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int)
     powers = (_power(depth), np.uint64(pow(0xD1342543DE82EF95, depth, 1 << 64)))
     left = rows["at"].astype(np.int64) - rows["lo"].astype(np.int64)
     right = rows["hi"].astype(np.int64) - rows["at"].astype(np.int64)
-    out = []
     for offset in range(reach + 1):  # bytes of the window before the anchor
         have = np.flatnonzero((left >= offset) & (right >= depth - offset))
+        a = reach - offset
+        yield offset, have, [prefix[i, have, a + depth] - prefix[i, have, a] * powers[i] for i in (0, 1)]
+
+
+def _compared(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int) -> list[dict[str, np.ndarray]]:
+    """For each offset of the anchor: windows with equal bytes, and those in
+    larger documents than the smallest."""
+    out = []
+    for offset, have, h in _window_hashes(rows, body, depth, k):
         if len(have) < 2:
             continue
-        a = reach - offset
-        h = [prefix[i, have, a + depth] - prefix[i, have, a] * powers[i] for i in (0, 1)]
         first, ids = rows["first"][have], rows["id"][have]
         order = np.lexsort((ids, h[1], h[0], first))
         least = _least_in_group(_starts(first[order], h[0][order], h[1][order]), ids[order])
@@ -374,11 +439,16 @@ def _compared(rows: dict[str, np.ndarray], body: np.ndarray, depth: int, k: int)
     return out
 
 
+def _times(rows: dict[str, np.ndarray], hit: np.ndarray, depth: int) -> np.ndarray:
+    """Spans of each row ``hit``: windows that follow closely make one."""
+    return np.where(rows["step"][hit] > depth, rows["more"][hit].astype(np.int64) + 1, 1)
+
+
 def _windows(rows: dict[str, np.ndarray], hit: np.ndarray, offset: int, depth: int) -> dict[str, np.ndarray]:
     """The windows ``offset`` bytes before the anchors of the rows ``hit``,
     at all places that the rows stand for."""
     step, more = rows["step"][hit].astype(np.int64), rows["more"][hit].astype(np.int64)
-    each = np.where(step > depth, more + 1, 1)  # closer ones make one span
+    each = _times(rows, hit, depth)
     nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
     hit, step, more = np.repeat(hit, each), np.repeat(step, each), np.repeat(more, each)
     lo = rows["at"][hit].astype(np.int64) - offset + nth * step
@@ -423,6 +493,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = materialise(context_groups(suffix_digits(src, depth, k, buckets)), "groups")
     texts = _packed_texts(src)
     late = last_digits(texts, groups.where("kind = 2").select("db", "blob"), depth, k, buckets)
+    hot = groups.where("kind = 3").select("db", "blob")
+    if not hot.isEmpty():
+        late = late.union(hot_digits(texts, hot, depth, k))
     known = groups.where("kind = 1").select("db", "blob")
     out = keep_rest(texts, known.union(late), with_text)
     return out.select(F.when(F.col("id") != int(_NO_ID), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))

@@ -229,3 +229,23 @@ def test_suffix_dedup_of_periodic_runs(spark, unit):
     for docs in (rows, rows + [(2, rows[1][1])], rows[1:]):
         got = suffixes.remove_repeats(documents(spark, docs)).collect()
         assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == _brute_windows(docs, 50)
+
+
+def test_suffix_dedup_of_a_passage_with_many_continuations(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_CONTEXTS", 20, raising=False)
+    rnd = random.Random(5)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, far = some(150), some(65)
+    rows = [(i, some(rnd.randrange(60)) + passage + some(rnd.randrange(60)) + (far + "-") * (i % 4)) for i in range(200)]
+    rows += [(7, rows[7][1]), (None, rows[3][1] + "z"), (300, "=" * 60)] + [(301 + i, "=" * (60 + 9 * i) + some(9)) for i in range(30)]
+    sizes, inner = [], suffixes.last_digits
+
+    def spy(texts, contexts, *rest):
+        first = suffixes._unpack([r["blob"] for r in contexts.collect()], suffixes._SUFFIXES)["first"].tolist()
+        sizes.append(max((first.count(x) for x in set(first)), default=0))
+        return inner(texts, contexts, *rest)
+
+    monkeypatch.setattr(suffixes, "last_digits", spy)
+    got = suffixes.remove_repeats(documents(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == _brute_windows(rows, 50)
+    assert sizes[0] <= 20  # contexts of an anchor that meet in one task
