@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Minima of 64-bit hashes, components and thresholds have no short SQL form;
-#: tests/llm holds the stages against brute force.
+#: tests/llm holds each operator, and run() on planted documents, against
+#: plain Python.
 ORACLE_SQL: str | None = None
