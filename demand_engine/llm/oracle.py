@@ -119,6 +119,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+def search_sql(top: int) -> str:
+    return f"""WITH d AS ({_words(_ALNUM, True)}), numbered AS (SELECT row_number() OVER () AS r, doc_id, len(w) AS n, w FROM d WHERE len(w) > 0),
+sums AS (SELECT count(*) AS cn, CAST(sum(n) AS BIGINT) AS cl FROM numbered),
+q AS (SELECT DISTINCT item_id, unnest(w) AS term FROM ({_words(_ALNUM, True, "benchmark", "item_id")})),
+held AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM numbered) SEMI JOIN q USING (term) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * cn + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM held GROUP BY term), sums),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * cn) // cl)))) AS BIGINT) AS score FROM q JOIN held USING (term) JOIN weights USING (term), sums GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= {top}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_sql(Rules()),
     "op2_near_duplicates": near_duplicates_sql(),
@@ -126,4 +137,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_license_scan": license_sql(licenses.TEMPLATES, 4, 0.5),
     "op7_warc": _WARC,
     "op9_decontaminate": decontaminate_sql(13),
+    "op12_lexical_search": search_sql(10),
 }

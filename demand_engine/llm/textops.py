@@ -117,3 +117,25 @@ def crc_mod(ids: pa.Array, n: int) -> np.ndarray:
     import zlib
 
     return np.fromiter((zlib.crc32(b"" if x is None else str(x).encode()) % n for x in ids.to_pylist()), np.int64, len(ids))
+
+
+def parts(piece: pa.RecordBatch, text: str, cut: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Byte buffer and offsets of a piece, as ``text_bytes`` gives them. A
+    text of more than ``limit`` bytes (a piece of its own) comes in several
+    parts, each but the last ending with a byte of ``cut``, so that memory
+    does not follow the text's length."""
+    buf, off = text_bytes(piece.column(text))
+    if piece.num_rows != 1 or len(buf) <= limit:
+        yield buf, off
+        return
+    at = 0
+    while at < len(buf):
+        to = min(len(buf), at + limit)
+        if to < len(buf):
+            found = np.flatnonzero(cut[buf[at:to]])
+            while not len(found) and to < len(buf):
+                start, to = to, min(len(buf), to + limit)
+                found = start - at + np.flatnonzero(cut[buf[start:to]])
+            to = at + int(found[-1]) + 1 if len(found) else len(buf)
+        yield buf[at:to], np.array([0, to - at], np.int64)
+        at = to
