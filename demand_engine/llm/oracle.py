@@ -130,6 +130,24 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= {top}"""
 
 
+def phrases_sql(least: int, longest: int, top: int) -> str:
+    return rf"""WITH RECURSIVE orders(o) AS (SELECT unnest(range(1, {longest + 1}))),
+d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, array_slice(w, s, s + o - 1) AS g FROM (SELECT lang, w, o, unnest(range(1, len(w) - o + 2)) AS s FROM w, orders WHERE len(w) >= o)),
+f AS (SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g HAVING count(*) >= {least}),
+cuts AS (SELECT lang, g, c, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+scored AS (SELECT x.lang, x.g, x.c AS a, k, p.c AS l, q.c AS r, n, CAST((1000::HUGEINT * x.c * n) // (p.c::HUGEINT * q.c) AS BIGINT) AS score
+  FROM cuts x JOIN f p ON p.lang = x.lang AND p.g = array_slice(x.g, 1, k) JOIN f q ON q.lang = x.lang AND q.g = array_slice(x.g, k + 1, len(x.g)) JOIN totals t ON t.lang = x.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (SELECT DISTINCT lang, c, array_slice(g, s, s + o - 1) AS g FROM (SELECT lang, g, c, o, unnest(range(1, len(g) - o + 2)) AS s FROM f, orders WHERE o > 1 AND o < len(g))),
+dropped AS (SELECT DISTINCT l.lang, l.g FROM lowest l JOIN inner_parts i ON i.lang = l.lang AND i.g = l.g AND 100 * i.c >= 100 * l.a),
+kept AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM lowest ANTI JOIN dropped USING (lang, g))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {top}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_sql(Rules()),
     "op2_near_duplicates": near_duplicates_sql(),
@@ -137,5 +155,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_license_scan": license_sql(licenses.TEMPLATES, 4, 0.5),
     "op7_warc": _WARC,
     "op9_decontaminate": decontaminate_sql(13),
+    "op11_phrases": phrases_sql(100, 5, 2000),
     "op12_lexical_search": search_sql(10),
 }

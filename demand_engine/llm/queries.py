@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, decontaminate, licenses, linededup, lm, minhash, mixing, quality_rules, search, suffixes, warc
+from . import classifier, decontaminate, licenses, linededup, lm, minhash, mixing, phrases, quality_rules, search, suffixes, warc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,9 +68,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of two to five words in all ``documents``, by language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best ``documents`` for each ``benchmark`` item."""
     return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup, op12_lexical_search)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup, op11_phrases, op12_lexical_search)}
