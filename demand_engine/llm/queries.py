@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, decontaminate, licenses, linededup, lm, minhash, mixing, phrases, quality_rules, search, suffixes, warc
+from . import classifier, decontaminate, html_extract, licenses, linededup, lm, minhash, mixing, phrases, quality_rules, search, suffixes, warc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,4 +78,9 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup, op11_phrases, op12_lexical_search)}
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every row of ``pages``."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_near_duplicates, op3_lm_scores, op4_suffix_dedup, op5_mix_sources, op6_license_scan, op7_warc, op8_quality_classifier, op9_decontaminate, op10_line_dedup, op11_phrases, op12_lexical_search, op13_html_extraction)}
