@@ -40,7 +40,7 @@ def run(df) -> None:
 def main() -> None:
     from pyspark.sql import DataFrame
 
-    from demand_engine.config import TreeParams
+    from demand_engine.config import LeafTreeParams
     from demand_engine.plans.catalog import queries
     from demand_engine.plans.pipeline import run_pipeline
     from demand_engine.session import get_spark
@@ -77,7 +77,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "spark": spark.version,
-        "tree_rounds": TreeParams().max_iter,
+        "tree_rounds": LeafTreeParams().n_estimators,
     }))
     spark.stop()
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import time
 
-from .config import HOLDOUT_WEEKS, SERVICE_LEVEL, InventoryParams, TreeParams
+from .config import HOLDOUT_WEEKS, SERVICE_LEVEL, InventoryParams, LeafTreeParams
 from .plans.pipeline import ALL_MODELS, PipelineConfig, run_pipeline, write_outputs
 from .plans.report import executive_summary, report_lines
 from .session import get_spark, release
@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--holdout-weeks", type=int, default=HOLDOUT_WEEKS)
-    ap.add_argument("--tree-rounds", type=int, default=TreeParams().max_iter)
+    ap.add_argument("--tree-rounds", type=int, default=LeafTreeParams().n_estimators)
     ap.add_argument("--service-level", type=float, default=SERVICE_LEVEL)
     ap.add_argument("--models", default=",".join(ALL_MODELS))
     args = ap.parse_args(argv)
@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(args.master)
     t0 = time.time()
     sales, stores = load_raw_data(spark, args.sf_dir) if args.sf_dir else load_raw_csv(spark, args.csv_dir)
-    cfg = PipelineConfig(holdout_weeks=args.holdout_weeks, trees=TreeParams(max_iter=args.tree_rounds),
+    cfg = PipelineConfig(holdout_weeks=args.holdout_weeks, trees=LeafTreeParams(n_estimators=args.tree_rounds),
                          inventory=InventoryParams(service_level=args.service_level),
                          models=tuple(m for m in args.models.split(",") if m))
     out = run_pipeline(sales, stores, cfg)

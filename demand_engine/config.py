@@ -21,6 +21,8 @@ RIDGE_ALPHA = 1.0
 
 TREE_N_ESTIMATORS = 500
 TREE_LEARNING_RATE = 0.05
+TREE_NUM_LEAVES = 31
+TREE_MAX_DEPTH = -1  # no limit
 TREE_MIN_CHILD_SAMPLES = 20
 TREE_COLSAMPLE = 0.8
 EARLY_STOPPING_ROUNDS = 50
@@ -102,3 +104,33 @@ class TreeParams:
     # Size of the training partitions: it fixes their number for given rows.
     rows_per_partition: int = 32_768
     checkpoint_interval: int = 10
+
+
+@dataclass(frozen=True)
+class LeafTreeParams:
+    """Trees grown leaf by leaf, with the original learner's settings."""
+
+    n_estimators: int = TREE_N_ESTIMATORS
+    learning_rate: float = TREE_LEARNING_RATE
+    num_leaves: int = TREE_NUM_LEAVES
+    max_depth: int = TREE_MAX_DEPTH
+    min_child_samples: int = TREE_MIN_CHILD_SAMPLES
+    colsample_bytree: float = TREE_COLSAMPLE
+    max_bins: int = 255
+    early_stopping_rounds: int = EARLY_STOPPING_ROUNDS
+    validation_fraction: float = VALIDATION_FRACTION
+    validation_mode: str = "chronological"
+    seed: int = RANDOM_SEED
+    # Rows from which the cut points come.
+    bin_sample_rows: int = 200_000
+    # A task's share of the rows, and how many tasks share the work at most
+    # (every task gets every other's histograms).
+    rows_per_task: int = 500_000
+    max_tasks: int = 32
+    # Rounds that one job fits; what a lost executor costs at most.
+    rounds_per_job: int = 200
+
+
+#: A few trees of one split each, on features of few values.
+STUMPS = LeafTreeParams(n_estimators=4, learning_rate=0.5, num_leaves=2, colsample_bytree=1.0)
+STUMP_FEATURES = ["quarter", "type_code", "IsHoliday", "is_month_end"]

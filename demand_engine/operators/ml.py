@@ -23,6 +23,7 @@ from ..config import LINEAR_FEATURES, RIDGE_ALPHA, RIDGE_NAME, TREE_FEATURES, TR
 from ..functions.formatting import prediction_column_name
 from ..functions.nulls import clip_negative, fill_zero
 from ..session import ensure_checkpoint_dir
+from .boosting import early_stop
 from .split import validation_flag
 
 VEC = "_features"
@@ -152,21 +153,6 @@ class RidgeForecaster:
 # Gradient-boosted trees
 # ---------------------------------------------------------------------------
 
-def early_stop(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(trees to keep, whether the patience rule fired within ``losses``).
-
-    Keeps the best validation loss seen before ``patience`` rounds pass
-    without improvement.
-    """
-    best_i, best = 0, float("inf")
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best_i, best = i, loss
-        elif i - best_i >= patience:
-            return best_i + 1, True
-    return best_i + 1, False
-
-
 def best_iteration(losses: Sequence[float], patience: int) -> int:
     return early_stop(losses, patience)[0]
 
@@ -222,7 +208,8 @@ def prefix_model(model: GBTRegressionModel, keep: int) -> GBTRegressionModel:
 
 
 class BoostedTreesForecaster:
-    """Gradient-boosted regression trees with early stopping.
+    """Gradient-boosted regression trees grown level by level by Spark ML,
+    with early stopping (``boosting.LeafTreesForecaster`` grows by leaf).
 
     Trees are fitted on the non-validation training rows up to ``max_iter``;
     the validation loss of every prefix is computed in one pass

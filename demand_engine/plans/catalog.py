@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LINEAR_FEATURES, MAPE_EPS, TREE_FEATURES, InventoryParams
+from ..config import LINEAR_FEATURES, MAPE_EPS, STUMP_FEATURES, STUMPS, TREE_FEATURES, InventoryParams
 from ..operators import chartdata as charts
 from ..operators import evaluation as ev
 from ..operators import features as fe
@@ -24,6 +24,7 @@ from ..operators import ml
 from ..operators import profiles as pr
 from ..operators import split as sp
 from ..operators.baselines import MovingAverageForecaster, NaiveForecaster, naive_last
+from ..operators.boosting import LeafTreesForecaster
 from ..operators.clean import build_store_weekly, clean_sales, drop_incomplete, enrich_stores
 from ..session import fresh_path, materialize
 from ..sources import tables
@@ -142,7 +143,7 @@ class Ctx:
 
     @cached_property
     def trees(self):
-        return ml.BoostedTreesForecaster().fit(self.train)
+        return LeafTreesForecaster().fit(self.train)
 
     def scored_with(self, models: list) -> DataFrame:
         return materialize(score_holdout(self.holdout, models), "scored")
@@ -550,6 +551,19 @@ def forecast_gbt(c: Ctx) -> DataFrame:
     return m.predict(c.holdout).select("Store", "Date", m.output_col)
 
 
+def forecast_stumps(c: Ctx) -> DataFrame:
+    """A few trees of one split each on features of few values: the learner
+    of ``forecast_gbt`` where SQL can follow it."""
+    m = LeafTreesForecaster(STUMPS, STUMP_FEATURES).fit(c.train)
+    return rounded(m.predict(c.holdout).select("Store", "Date", m.output_col), {m.output_col: 2})
+
+
+def stump_table(c: Ctx) -> DataFrame:
+    """The node table of those trees."""
+    m = LeafTreesForecaster(STUMPS, STUMP_FEATURES).fit(c.train)
+    return rounded(m.node_table(c.spark).select("tree", "node", "left", "right", "feature", "threshold", "n_rows", "value"), {"value": 3})
+
+
 def feature_importance(c: Ctx) -> DataFrame:
     return c.trees.feature_importances_df(c.spark)
 
@@ -657,6 +671,8 @@ _REGISTRY: dict[str, Callable[[Ctx], DataFrame]] = {
     "evaluate_models_ridge": evaluate_models_ridge,
     "model_comparison_ridge": model_comparison_ridge,
     "forecast_gbt": forecast_gbt,
+    "forecast_stumps": forecast_stumps,
+    "stump_table": stump_table,
     "evaluate_models_all": evaluate_models_all,
     "model_comparison_all": model_comparison_all,
     "forecast_table_all": forecast_table_all,

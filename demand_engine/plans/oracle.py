@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from ..config import MAPE_EPS, RIDGE_ALPHA, RIDGE_NAME, WEEKS_PER_YEAR, InventoryParams
+from ..config import MAPE_EPS, RIDGE_ALPHA, RIDGE_NAME, STUMP_FEATURES, STUMPS, WEEKS_PER_YEAR, InventoryParams
 from ..sources.tables import HOLIDAY_ISO_WEEKS, SIZE_OFFSET, TYPE_LETTERS
 
 
@@ -238,6 +238,32 @@ quart AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
   SELECT Type, quantile_cont(raw, 0.25) / 1e6 AS q1, quantile_cont(raw, 0.5) / 1e6 AS median, quantile_cont(raw, 0.75) / 1e6 AS q3 FROM points GROUP BY Type))"""
 
 
+def _stump_ctes() -> str:
+    """Boosting by stumps: ``round_t`` are the training rows with their margin
+    after t rounds, ``best_t`` the split that round t + 1 makes of them."""
+    p, xs = STUMPS, [f"x{i}" for i in range(len(STUMP_FEATURES))]
+    inputs = ", ".join(f"{_fill0(c)} AS {x}" for c, x in zip(STUMP_FEATURES, xs, strict=True))
+    flagged = _validation_chrono().replace("SELECT t.Store, t.Date,", "SELECT t.*,")
+    out = [f"stump_rows AS MATERIALIZED (SELECT Weekly_Sales AS y, {inputs}, is_validation AS v FROM ({flagged}))",
+           "stump_start AS (SELECT avg(y) AS m, count(*) AS n FROM stump_rows WHERE NOT v)",
+           "round_0 AS MATERIALIZED (SELECT r.*, m FROM stump_rows r, stump_start)"]
+    chosen = "CASE f " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(xs)) + " END"
+    for t in range(p.n_estimators):
+        long = " UNION ALL ".join(f"SELECT {i} AS f, {x} AS x, y - m AS g FROM round_{t} WHERE NOT v" for i, x in enumerate(xs))
+        out += [
+            f"sums_{t} AS (SELECT f, x, sum(g) AS s, count(*) AS k FROM ({long}) GROUP BY f, x)",
+            f"""cuts_{t} AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS nx, sum(s) OVER w AS gl, sum(k) OVER w AS nl,
+  sum(s) OVER (PARTITION BY f) AS g, sum(k) OVER (PARTITION BY f) AS n FROM sums_{t} WINDOW w AS (PARTITION BY f ORDER BY x))""",
+            f"""best_{t} AS MATERIALIZED (SELECT f, x + (nx - x) / 2 AS c, CAST(nl AS BIGINT) AS nl, CAST(n - nl AS BIGINT) AS nr, {d(p.learning_rate)} * gl / nl AS lv, {d(p.learning_rate)} * (g - gl) / (n - nl) AS rv
+  FROM cuts_{t} WHERE nx IS NOT NULL AND nl >= {p.min_child_samples} AND n - nl >= {p.min_child_samples}
+  ORDER BY gl * gl / nl + (g - gl) * (g - gl) / (n - nl) - g * g / n DESC, f, c LIMIT 1)""",
+            f"round_{t + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (m), m + CASE WHEN {chosen} <= c THEN lv ELSE rv END AS m FROM round_{t} r, best_{t})",
+        ]
+    losses = " UNION ALL ".join(f"SELECT {t} AS t, avg((y - m) * (y - m)) AS loss FROM round_{t} WHERE v" for t in range(1, p.n_estimators + 1))
+    out.append(f"kept AS (SELECT t FROM ({losses}) ORDER BY loss, t LIMIT 1)")
+    return "\n, " + ",\n".join(out)
+
+
 def _ridge_ctes() -> str:
     """Ridge by its normal equations: sums of products of the standardised
     features, solved by Gauss-Jordan steps, one subquery for each step."""
@@ -418,6 +444,15 @@ SELECT p.Store, p.Date, p.Type, round(v, 8) AS sales_musd FROM points p JOIN spa
     ridge = _ridge_ctes()
     sq["forecast_ridge"] = _fix_leading_comma(with_ctes(ridge + """
 SELECT Store, Date, round(pred_Ridge_Regression, 2) AS pred_Ridge_Regression FROM ridge_scored""", "train", "holdout"))
+    stumps, rounds = _stump_ctes(), range(STUMPS.n_estimators)
+    value = " + ".join([f"CASE WHEN {t} < t THEN CASE WHEN (CASE b{t}.f " + " ".join(f"WHEN {i} THEN {_fill0(c)}" for i, c in enumerate(STUMP_FEATURES)) + f" END) <= b{t}.c THEN b{t}.lv ELSE b{t}.rv END ELSE 0.0 END" for t in rounds])
+    sq["forecast_stumps"] = _fix_leading_comma(with_ctes(stumps + f"""
+SELECT Store, Date, round(greatest(m + {value}, 0.0), 2) AS pred_Gradient_Boosted_Trees FROM holdout, stump_start, kept, {", ".join(f"best_{t} b{t}" for t in rounds)}""", "train", "holdout"))
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(STUMP_FEATURES)) + " END"
+    nodes = " UNION ALL ".join(f"""SELECT {t} AS tree, 0 AS node, 1 AS "left", 2 AS "right", {names} AS feature, c AS threshold, nl + nr AS n_rows, NULL AS value, kept.t FROM best_{t}, kept
+UNION ALL SELECT {t}, 1, -1, -1, NULL, NULL, nl, round(lv, 3), kept.t FROM best_{t}, kept UNION ALL SELECT {t}, 2, -1, -1, NULL, NULL, nr, round(rv, 3), kept.t FROM best_{t}, kept""" for t in rounds)
+    sq["stump_table"] = _fix_leading_comma(with_ctes(stumps + f"""
+SELECT tree, node, "left", "right", feature, threshold, n_rows, value FROM ({nodes}) WHERE tree < t""", "train", "holdout"))
     three = ridge + f"""
 , long3 AS (SELECT Model, actual, predicted FROM long_preds
           UNION ALL SELECT '{RIDGE_NAME}', Weekly_Sales, pred_Ridge_Regression FROM ridge_scored),

@@ -14,9 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import HOLDOUT_WEEKS, LAGS, MOVING_AVERAGE_WINDOW, RIDGE_ALPHA, ROLLING_WINDOWS, InventoryParams, TreeParams
+from ..config import HOLDOUT_WEEKS, LAGS, MOVING_AVERAGE_WINDOW, RIDGE_ALPHA, ROLLING_WINDOWS, InventoryParams, LeafTreeParams, TreeParams
 from ..operators import chartdata as charts
 from ..operators.baselines import MovingAverageForecaster, NaiveForecaster
+from ..operators.boosting import LeafTreesForecaster
 from ..operators.clean import build_store_weekly, duplicated_stores
 from ..operators.common import attach_scalars
 from ..operators.evaluation import compare_models, evaluate_models
@@ -36,7 +37,7 @@ class PipelineConfig:
     holdout_weeks: int = HOLDOUT_WEEKS
     ma_window: int = MOVING_AVERAGE_WINDOW
     ridge_alpha: float = RIDGE_ALPHA
-    trees: TreeParams = field(default_factory=TreeParams)
+    trees: LeafTreeParams | TreeParams = field(default_factory=LeafTreeParams)  # by leaf, or by level
     inventory: InventoryParams = field(default_factory=InventoryParams)
     models: Sequence[str] = ALL_MODELS
     target: str = "Weekly_Sales"
@@ -51,7 +52,7 @@ def make_forecasters(cfg: PipelineConfig) -> list:
         "naive": lambda: NaiveForecaster(target=cfg.target),
         "moving_average": lambda: MovingAverageForecaster(cfg.ma_window),
         "ridge": lambda: RidgeForecaster(cfg.ridge_alpha, target=cfg.target),
-        "trees": lambda: BoostedTreesForecaster(cfg.trees, target=cfg.target),
+        "trees": lambda: (BoostedTreesForecaster if isinstance(cfg.trees, TreeParams) else LeafTreesForecaster)(cfg.trees, target=cfg.target),
     }
     unknown = [m for m in cfg.models if m not in makers]
     if unknown:
