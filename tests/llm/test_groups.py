@@ -208,3 +208,44 @@ def test_license_plan_has_no_python(spark):
 
     plan = QUERIES["op6_license_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def _variants(rnd, count, words, share):
+    """Documents that have ``share`` of the words of one text in common."""
+    base = [f"b{i}" for i in range(words)]
+    for i in range(count):
+        keep = rnd.choice([share, share, share, 0.97])
+        yield i, " ".join(w if rnd.random() < keep else f"x{rnd.randrange(10**9)}" for w in base)
+
+
+def test_a_large_group_of_variants_gives_few_candidates_and_loses_no_link(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = list(_variants(rnd, 300, 90, 0.86))
+    sets = {i: _shingles(t) for i, t in rows}
+    ids = sorted(sets)
+    links = [(a, b) for x, a in enumerate(ids) for b in ids[x + 1 :] if 100 * (n := len(sets[a] & sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    seen = []
+    plain = minhash.apart_in_buckets
+
+    def counted(*args):
+        out = minhash.materialise(plain(*args), "counted")
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "apart_in_buckets", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), shingle=2)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == _roots(ids, links)
+    assert seen[0] <= 2 * len(links) + len(ids)  # not the square of the group
+
+
+def test_long_signatures_agree_as_often_as_the_sets():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    for shared in (300, 700, 900):
+        x, y = np.unique(pool[:1000]), np.unique(pool[1000 - shared : 2000 - shared])
+        low = [(minhash.minima(v, minhash.LONG) & np.uint32(15)).astype("u1") for v in (x, y)]
+        packed = [v[0::2] << 4 | v[1::2] for v in low]
+        j = shared / (2000 - shared)
+        agree = int(minhash.long_agreement(packed[0], packed[1][None, :])[0])
+        assert agree == (low[0] == low[1]).sum()
+        assert abs(agree / minhash.LONG - (j + (1 - j) / 16)) < 0.07
