@@ -9,13 +9,13 @@ built by alternating large-star and small-star.
 
 What the stars leave apart is worked off exactly: in buckets that still hold
 several components, members outside the bucket's largest component are held
-against all members of other components, in blocks of bounded size, by
-signature. A pair is looked at in the first bucket that it shares, so it comes
-out once; and pairs whose signatures agree are held against each other by a
-much longer signature, drawn for these members alone, which tells most pairs
-below the threshold without their sets. The candidates left are confirmed on
-the full sets, again in blocks by both ends, and a block gets only the sets
-that its pairs name.
+against all members of other components, in blocks of bounded size and bytes.
+A pair is looked at in the first bucket that it shares. Pairs whose signatures
+agree are compared by their sets, cut to 32 bits, inside the block, which
+gives only links that join what it has not joined yet: at most one for each
+component in it, however many pairs it compares. These few are confirmed on
+the full sets; should one fail (two shingles alike in 32 bits), the pass is
+done once more with full sets.
 
 ``BANDS`` x ``ROWS`` minima miss a pair at the threshold 0.8 with a chance
 of 3e-6 (less above it); nothing else loses a link.
@@ -46,10 +46,6 @@ BANDS, ROWS = 32, 5
 #: Pairs whose signatures agree in fewer places can't reach the threshold
 #: (at 0.8 the expected share is 0.8; 0.6 lies more than six deviations below).
 SIGNATURE_SLACK = 0.2
-#: Minima of the longer signature, half a byte each. At the threshold 0.8 a
-#: share of 0.8 + 0.2 / 16 is expected to agree; the slack of 0.073 is six
-#: deviations.
-LONG, LONG_SLACK = 1024, 0.073
 #: Members of a bucket that meet in one task, from each side.
 BLOCK = 512
 #: Candidate pairs of a group that meet in one task, and bytes of sets from
@@ -170,7 +166,9 @@ def agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
 
 
 def _linked(p: np.ndarray, q: np.ndarray, similarity: int) -> bool:
-    both = len(np.intersect1d(p, q, assume_unique=True))
+    both = np.concatenate([p, q])
+    both.sort(kind="stable")  # two sorted runs
+    both = int((both[1:] == both[:-1]).sum())
     return 100 * both >= similarity * (len(p) + len(q) - both)
 
 
@@ -195,65 +193,58 @@ def _named(rows: DataFrame, comps: DataFrame, column: str, out: str) -> DataFram
     return rows.join(of, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def long_signatures(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, long): the lower half bytes of ``LONG`` minima of the wanted sets."""
+def apart_in_buckets(members: DataFrame, classes: DataFrame, sets: DataFrame, comps: DataFrame, similarity: int, least: int, width: int = 4) -> DataFrame:
+    """Links (a, b) between components: members of a bucket outside its
+    largest component against all others there, in blocks. Shingles are
+    compared by their lowest ``width`` bytes; with 8 the links are exact."""
+    named = _named(members.select("key", "id", "n"), comps, "id", "comp")
+    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    buckets = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum("s").alias("s"), F.count("*").alias("k"), F.max("c").alias("main_size"), F.max_by(F.struct("comp", "s"), F.struct("c", "comp")).alias("main"))
+    blocks = lambda count, shingles: F.greatest(F.ceil(count / BLOCK), F.ceil(shingles * width / SET_BYTES)).cast("int")
+    buckets = buckets.where("k > 1").select("key", F.col("main.comp").alias("main"), blocks(F.col("m"), F.col("s")).alias("nr"), blocks(F.col("m") - F.col("main_size"), F.col("s") - F.col("main.s")).alias("nl"))
+    found = materialise(named.join(buckets, "key"), "apart")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for x in batch.column("members"):
-                low = (minima(np.frombuffer(x.as_buffer(), "<u8"), LONG) & np.uint32(15)).astype("u1")
-                out.append((low[0::2] << 4 | low[1::2]).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", "long"])
-
-    return sets.join(ids, "id", "left_semi").select("id", "members").mapInArrow(run, "id long, long binary")
-
-
-def long_agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many half bytes of one long signature and of each of others agree."""
-    differ = x ^ y
-    return ((differ & 0xF0) == 0).sum(1) + ((differ & 0x0F) == 0).sum(1)
+            short = [np.frombuffer(x.as_buffer(), "<u8").astype(f"<u{width}").tobytes() for x in batch.column("members")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(short, pa.binary())], ["id", "members"])
 
-
-def apart_in_buckets(members: DataFrame, classes: DataFrame, sets: DataFrame, comps: DataFrame, similarity: int, least: int) -> DataFrame:
-    """Candidates (a, b) in different components: members of a bucket outside
-    its largest component against all others there, in blocks. A pair comes
-    from the first band that its members share."""
-    named = _named(members.select("key", "id", "n"), comps, "id", "comp")
-    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    buckets = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("main_size"))
-    block = F.lit(BLOCK)
-    buckets = buckets.where("k > 1").select("key", "main", F.ceil(F.col("m") / block).cast("int").alias("nr"), F.ceil((F.col("m") - F.col("main_size")) / block).cast("int").alias("nl"))
-    found = materialise(named.join(buckets, "key"), "apart")
-    drawn = long_signatures(sets, found.select("id").distinct())
-    rows = found.join(classes.select("id", "signature", "bands").join(drawn, "id"), "id")
+    wanted = sets.join(found.select("id").distinct(), "id", "left_semi").select("id", "members").mapInArrow(cut, "id long, members binary")
+    rows = found.join(classes.select("id", "signature", "bands").join(wanted, "id"), "id")
     spread = F.xxhash64("id", F.lit(3))
     left = rows.where("comp <> main").select("*", F.pmod(spread, "nl").alias("l"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r"))
     right = rows.select("*", F.pmod(spread, "nr").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("l"))
-    columns = ["key", F.col("l").cast("int").alias("l"), F.col("r").cast("int").alias("r"), "id", "n", "comp", "signature", "bands", "long"]
-    least_long = int(LONG * (similarity / 100 + (1 - similarity / 100) / 16 - LONG_SLACK))
+    columns = ["key", F.col("l").cast("int").alias("l"), F.col("r").cast("int").alias("r"), "id", "n", "comp", "signature", "bands", "members"]
 
     def compare(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
-        if not x.num_rows or not y.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        (sx, lx), (sy, ly) = ([np.frombuffer(b"".join(t.column(c).to_pylist()), "u1").reshape(t.num_rows, -1) for c in ("signature", "long")] for t in (x, y))
-        bx, by = (t.column("bands").combine_chunks().flatten().to_numpy().reshape(t.num_rows, BANDS) for t in (x, y))
-        (ix, nx, cx), (iy, ny, cy) = (tuple(t.column(c).to_numpy() for c in ("id", "n", "comp")) for t in (x, y))
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i in range(len(ix)):
-            same = (sy == sx[i]).sum(1)
-            good = np.flatnonzero((same >= least) & (cy != cx[i]) & (np.minimum(ny, nx[i]) * 100 >= np.maximum(ny, nx[i]) * similarity))
-            good = good[by[good, np.argmax(by[good] == bx[i], axis=1)] == key[0].as_py()] if len(good) else good
-            good = good[long_agreement(lx[i], ly[good]) >= least_long]
-            out_a.append(np.minimum(iy[good], ix[i]))
-            out_b.append(np.maximum(iy[good], ix[i]))
-        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
+        out: list[tuple[int, int]] = []
+        if x.num_rows and y.num_rows:
+            sx, sy = (np.frombuffer(b"".join(t.column("signature").to_pylist()), "u1").reshape(t.num_rows, -1) for t in (x, y))
+            bx, by = (t.column("bands").combine_chunks().flatten().to_numpy().reshape(t.num_rows, BANDS) for t in (x, y))
+            (ix, nx, cx), (iy, ny, cy) = (tuple(t.column(c).to_numpy() for c in ("id", "n", "comp")) for t in (x, y))
+            mx, my = ([np.sort(np.frombuffer(v.as_buffer(), f"<u{width}")) for v in t.column("members")] for t in (x, y))
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while (up := root.get(c, c)) != c:
+                    root[c] = c = root.get(up, up)
+                return c
+
+            for i in range(len(ix)):
+                same = (sy == sx[i]).sum(1)
+                good = np.flatnonzero((same >= least) & (cy != cx[i]) & (np.minimum(ny, nx[i]) * 100 >= np.maximum(ny, nx[i]) * similarity))
+                good = good[by[good, np.argmax(by[good] == bx[i], axis=1)] == key[0].as_py()] if len(good) else good
+                for j in good.tolist():
+                    a, b = find(int(cx[i])), find(int(cy[j]))
+                    if a != b and _linked(mx[i], my[j], similarity):
+                        root[a] = b
+                        out.append((int(ix[i]), int(iy[j])))
+        return pa.table({"a": pa.array([v[0] for v in out], pa.int64()), "b": pa.array([v[1] for v in out], pa.int64())})
 
     keys = ("key", "l", "r")
     left, right = (t.select(*columns).select(*(F.col(c).alias(c) for c in t.select(*columns).columns)) for t in (left, right))
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
-    # a pair comes from both sides where both members lie outside the largest component
-    return pairs.distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -294,6 +285,12 @@ def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> D
     return dealt.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(run, "u long, v long")
 
 
+def _still_apart(pairs: DataFrame, comps: DataFrame) -> bool:
+    """Whether the ends of some pair lie in different components."""
+    named = _named(_named(pairs, comps, "a", "x"), comps, "b", "y")
+    return not named.where("x <> y").isEmpty()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: int = 80) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     drawn = materialise(sketches(docs, id_col, text_col, shingle), "sketches")
@@ -318,9 +315,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = materialise(full_sets(docs, wanted, id_col, text_col, shingle), "sets")
     links = materialise(_same_id(usable).union(confirmed(best, sets, similarity)), "links")
     comps = materialise(components(links), "components")
-    rest = materialise(apart_in_buckets(members, classes, sets, comps, similarity, least), "rest")
-    more = materialise(confirmed_in_groups(rest, sets, similarity), "links")
-    comps = materialise(components(links.union(more)), "components")
+    for width in (4, 8):
+        rest = materialise(apart_in_buckets(members, classes, sets, comps, similarity, least, width), "rest")
+        links = links.union(materialise(confirmed_in_groups(rest, sets, similarity), "links"))
+        comps = materialise(components(links), "components")
+        if not _still_apart(rest, comps):  # all links held
+            break
 
     # the smallest id of all rows in a component, through their classes
     of_class = _named(reps.select(F.xxhash64("digest").alias("id"), "digest", F.col("id").alias("rep")), comps, "id", "component")
