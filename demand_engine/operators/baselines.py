@@ -24,15 +24,17 @@ def naive_last(train: DataFrame, group_col: str = "Store", target: str = "Weekly
                order_cols: tuple[str, ...] = ROW_ORDER) -> DataFrame:
     """Last non-missing target per group, in (date, ...) order: (group, last_value).
 
-    The order columns are packed into one decimal (day, flag, first letter of
-    the type, size), so the plan is a hash aggregate with map-side combine.
+    The order columns are packed into one decimal of 36 digits (day, flag, the
+    type's first seven bytes, size; missing ones first), so the plan is a hash
+    aggregate with map-side combine.
     """
     have = set(order_cols) & set(train.columns)
     day = F.datediff(F.col(order_cols[0]), F.lit("1970-01-01").cast("date")).cast("long")
     flag = F.coalesce(F.col("IsHoliday").cast("long"), F.lit(-1)) + 1 if "IsHoliday" in have else F.lit(0)
-    letter = F.least(F.coalesce(F.ascii("Type"), F.lit(0)), F.lit(998)) if "Type" in have else F.lit(0)
+    head = F.conv(F.rpad(F.hex(F.substring(F.encode("Type", "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("decimal(17,0)") if "Type" in have else F.lit(None)
+    letters = F.coalesce(head + 1, F.lit(0)).cast("decimal(18,0)")
     size = F.coalesce(F.col("Size").cast("long"), F.lit(0)) if "Size" in have else F.lit(0)
-    order = ((day * 4 + flag) * 1000 + letter).cast("decimal(20,0)") * F.lit(10**12).cast("decimal(13,0)") + size.cast("decimal(13,0)")
+    order = ((day * 4 + flag).cast("decimal(8,0)") * F.lit(10**17).cast("decimal(18,0)") + letters) * F.lit(10**12).cast("decimal(13,0)") + size.cast("decimal(13,0)")
     return (
         train.filter(F.col(target).isNotNull() & ~F.isnan(target))
         .groupBy(group_col)

@@ -179,32 +179,53 @@ def inventory_scatter_data(plan: DataFrame, top_n: int = 20) -> DataFrame:
 # Distribution by store type (box plot)
 # ---------------------------------------------------------------------------
 
-def quartiles_by_type(store_weekly: DataFrame, value_col: str = "Weekly_Sales") -> DataFrame:
+def quartiles_by_type(store_weekly: DataFrame, value_col: str = "Weekly_Sales", accuracy: int = 10_000) -> DataFrame:
     """Exact, linearly interpolated quartiles per type, in $M: (Type, n, q1,
     median, q3).
 
-    Equal values are counted first; the distinct values are ranked by range
-    buckets and running counts, so no type meets in one task, and the values
-    at the wanted ranks come out of a partial aggregate.
+    A mergeable quantile sketch of fixed size brackets each wanted rank: a
+    value it names for a share lies within ``1 / accuracy`` of that share. A
+    second pass counts what lies below each bracket and keeps only the values
+    inside (some ``6 / accuracy`` of the rows), by which the rank is found.
+    Both passes are partial aggregates; no type meets in one task. Were a
+    rank outside its bracket, the query would fail rather than be wrong.
     """
-    values = store_weekly.filter(F.col(value_col).isNotNull()).groupBy("Type", F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_count(values, "Type", "_v", "_c", "_upto")
-    sizes = materialize(ranked.groupBy("Type").agg(F.max("_upto").alias("n")), "sizes")
-    joined = ranked.join(sizes, "Type")
-
-    def at(rank: F.Column) -> F.Column:  # the value of the 0-based rank
-        return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
-
-    def place(q: float) -> F.Column:
-        return F.lit(q) * (F.col("n") - 1)
-
-    picked = joined.groupBy("Type", "n").agg(*[
-        f for q, name in _QUARTILES for f in (at(F.floor(place(q))).alias(f"_{name}_lo"), at(F.ceil(place(q))).alias(f"_{name}_hi"))
-    ])
-    return picked.select("Type", "n", *[
-        in_millions(F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (place(q) - F.floor(place(q)))).alias(name)
-        for q, name in _QUARTILES
-    ])
+    rows = store_weekly.filter(F.col(value_col).isNotNull()).select("Type", F.col(value_col).alias("_v"))
+    slack = 3.0 / accuracy
+    shares = [x for q, _ in _QUARTILES for x in (max(0.0, q - slack), min(1.0, q + slack))]
+    bounds = rows.groupBy("Type").agg(F.percentile_approx("_v", F.lit(shares), F.lit(accuracy)).alias("_b"))
+    names = [name for _, name in _QUARTILES]
+    marks = [F.struct(F.lit(name).alias("name"), F.lit(q).alias("q"), F.col("_b")[2 * i].alias("lo"), F.col("_b")[2 * i + 1].alias("hi")) for i, (q, name) in enumerate(_QUARTILES)]
+    joined = rows.join(bounds, rows["Type"].eqNullSafe(bounds["Type"])).drop(bounds["Type"])
+    inside = [(F.col("_v") >= F.col("_b")[2 * i]) & (F.col("_v") <= F.col("_b")[2 * i + 1]) for i in range(len(names))]
+    # one pass: a row for each value inside a bracket, all others by the gap they lie in
+    gap = F.when(F.col("_v") < F.col("_b")[0], 0)
+    for i in range(1, len(names)):
+        gap = gap.when(F.col("_v") < F.col("_b")[2 * i], i)
+    kept = F.when(_any(inside), F.col("_v"))
+    counted = joined.groupBy("Type", "_b", kept.alias("_v"), F.when(kept.isNull(), gap.otherwise(len(names))).alias("_gap")).agg(F.count(F.lit(1)).alias("_c"))
+
+    each = counted.withColumn("_m", F.explode(F.array(*marks))).select("Type", "_m.*", "_v", "_c", F.col("_gap"))
+    order = {name: i for i, name in enumerate(names)}
+    place = F.create_map(*[x for name, i in order.items() for x in (F.lit(name), F.lit(i))])[F.col("name")]
+    below = F.when(F.col("_v").isNull(), F.col("_gap") <= place).otherwise(F.col("_v") < F.col("lo"))
+    sizes = each.groupBy("Type", "name", "q").agg(F.sum("_c").alias("n"), F.sum(F.when(below, F.col("_c")).otherwise(0)).alias("_below"))
+    at = each.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))).select("Type", "name", "_v", "_c")
+    upto = F.sum("_c").over(Window.partitionBy("Type", "name").orderBy("_v"))
+    ranked = at.withColumn("_upto", upto).alias("a").join(sizes.alias("s"), F.col("a.Type").eqNullSafe(F.col("s.Type")) & (F.col("a.name") == F.col("s.name")))
+    rank, seen = F.col("q") * (F.col("n") - 1), F.col("_below") + F.col("_upto")
+    found = ranked.groupBy("s.Type", "s.name", "q", "n", "_below").agg(
+        F.min(F.when(seen > F.floor(rank), F.col("_v"))).alias("_lo"), F.min(F.when(seen > F.ceil(rank), F.col("_v"))).alias("_hi"))
+    held = (F.col("_below") <= F.floor(rank)) & F.col("_hi").isNotNull()
+    value = F.when(held, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (rank - F.floor(rank))).otherwise(F.raise_error(F.lit("a quartile lies outside its bracket")).cast("double"))
+    return found.groupBy("Type", "n").agg(*[in_millions(F.max(F.when(F.col("name") == name, value))).alias(name) for name in names])
+
+
+def _any(conditions: list) -> F.Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
 
 
 _QUARTILES = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
@@ -226,9 +247,10 @@ def sales_distribution_by_type(store_weekly: DataFrame, whisker: float = 1.5, va
     return quart.join(spans, "Type").select("Type", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n", "n_outliers")
 
 
-def sales_outliers_by_type(store_weekly: DataFrame, whisker: float = 1.5, value_col: str = "Weekly_Sales") -> DataFrame:
-    """The rows drawn as outlier points in the box plot."""
-    box = sales_distribution_by_type(store_weekly, whisker, value_col)
+def sales_outliers_by_type(store_weekly: DataFrame, whisker: float = 1.5, value_col: str = "Weekly_Sales", box: DataFrame | None = None) -> DataFrame:
+    """The rows drawn as outlier points in the box plot; ``box`` is the
+    distribution where it is at hand."""
+    box = sales_distribution_by_type(store_weekly, whisker, value_col) if box is None else box
     v = in_millions(value_col)
     return (
         store_weekly.select("Store", "Date", "Type", v.alias("sales_musd"))

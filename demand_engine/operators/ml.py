@@ -1,4 +1,4 @@
-"""Ridge regression and gradient-boosted trees on Spark ML.
+"""Ridge regression from one aggregate, and gradient-boosted trees on Spark ML.
 
 Fitting is an action; prediction stays lazy. Feature vectors are built
 JVM-side with ``array_to_vector`` (no Python per row). The rows for the
@@ -13,9 +13,10 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import SparkContext
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,13 +58,11 @@ def standard_scale(train: DataFrame, df: DataFrame, cols: Sequence[str] = LINEAR
                    keep: Sequence[str] = ()) -> DataFrame:
     """(x - mean) / population std with moments from ``train``; a constant
     column is only centred (scale 1). Missing -> 0 before scaling."""
-    moments = train.agg(F.struct(*[
-        F.struct(F.avg(fill_zero(c)).alias("m"), F.stddev_pop(fill_zero(c)).alias("s")).alias(c) for c in cols
-    ]).alias("mom")).scalar()
+    g = gram(train, cols)
     out = []
-    for c in cols:
-        m, s = moments.getField(c).getField("m"), moments.getField(c).getField("s")
-        out.append(((fill_zero(c) - m) / F.when(s > 0, s).otherwise(F.lit(1.0))).alias(c))
+    for i, c in enumerate(cols):
+        s = float(np.sqrt(max(g["cov"][i, i], 0.0)))
+        out.append(((fill_zero(c) - F.lit(float(g["mean"][i]))) / F.lit(s if s > 0 else 1.0)).alias(c))
     return df.select(*keep, *out)
 
 
@@ -92,11 +91,27 @@ def training_frame(df: DataFrame, keys: Sequence[str], rows_per_partition: int)
 # Ridge
 # ---------------------------------------------------------------------------
 
+def gram(df: DataFrame, cols: Sequence[str], target: str | None = None) -> dict:
+    """Count, means and covariances (population) of the columns, missing as 0,
+    and of the target: one native aggregate with partial sums, whose result
+    is one row. What the scaler and the normal equations need."""
+    x = [fill_zero(c) for c in cols] + ([F.col(target).cast("double")] if target else [])
+    n = len(x)
+    out = df.agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(v) for v in x]).alias("mean"),
+        F.array(*[F.covar_pop(x[i], x[j]) for i in range(n) for j in range(i + 1)]).alias("cov"),
+    ).first()
+    cov = np.zeros((n, n))
+    if out["n"]:
+        cov[np.tril_indices(n)] = out["cov"]
+    return {"n": out["n"], "mean": np.array([v or 0.0 for v in out["mean"]]), "cov": cov + np.tril(cov, -1).T}
+
+
 @dataclass
 class RidgeModel:
     features: list[str]
-    model: LinearRegressionModel | None
-    constant: float | None = None
+    weights: list[float]
+    intercept: float
     name: str = RIDGE_NAME
 
     @property
@@ -104,24 +119,22 @@ class RidgeModel:
         return prediction_column_name(self.name)
 
     def predict(self, df: DataFrame) -> DataFrame:
-        if self.model is None:
-            return df.withColumn(self.output_col, clip_negative(F.lit(float(self.constant or 0.0))))
-        scored = self.model.transform(df.withColumn(VEC, feature_vector(self.features)))
-        return scored.withColumn(self.output_col, clip_negative(RAW)).drop(VEC, RAW)
+        total = F.lit(self.intercept)
+        for c, w in zip(self.features, self.weights, strict=True):
+            total = total + F.lit(w) * fill_zero(c)
+        return df.withColumn(self.output_col, clip_negative(total))
 
     def coefficients(self) -> dict[str, float]:
-        if self.model is None:
-            return {c: 0.0 for c in self.features}
-        return dict(zip(self.features, self.model.coefficients.toArray().tolist()))
+        return dict(zip(self.features, self.weights, strict=True))
 
 
 class RidgeForecaster:
     """L2-penalised least squares on standardised features.
 
     Penalty ``alpha * ||w||^2`` on population-standardised features with an
-    unpenalised intercept. Spark's normal-equation solver standardises the
-    label too, so the same problem is ``regParam = alpha / n * std_pop(y)``.
-    The solver aggregates X'X (features x features) in one distributed pass.
+    unpenalised intercept. One aggregate over the rows gives the means and
+    covariances; the system (features x features) is solved on the driver.
+    A constant feature gets no weight.
     """
 
     name = RIDGE_NAME
@@ -136,17 +149,17 @@ class RidgeForecaster:
         absent = [c for c in self.features if c not in train.columns]
         if absent:
             raise ValueError(f"missing feature columns: {absent}")
-        # Fitting is a few passes that do not depend on row order: no shuffle.
-        data = train.select(feature_vector(self.features).alias(VEC), F.col(self.target).cast("double").alias(self.target))
-        stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("sd"),
-                         F.avg(self.target).alias("mu")).first()
-        n, sd, mu = stats["n"], stats["sd"], stats["mu"]
-        if not n or not sd:
-            return RidgeModel(self.features, None, mu or 0.0, self.name)
-        lr = LinearRegression(featuresCol=VEC, labelCol=self.target, predictionCol=RAW,
-                              regParam=self.alpha / n * sd, elasticNetParam=0.0,
-                              standardization=True, fitIntercept=True, solver="normal")
-        return RidgeModel(self.features, lr.fit(data), None, self.name)
+        g = gram(train.where(F.col(self.target).isNotNull()), self.features, self.target)
+        k, weights = len(self.features), np.zeros(len(self.features))
+        if not g["n"]:
+            return RidgeModel(self.features, weights.tolist(), 0.0, self.name)
+        scale = np.sqrt(np.maximum(np.diag(g["cov"])[:k], 0.0))
+        use = np.flatnonzero(scale > 1e-12 * np.maximum(1.0, np.abs(g["mean"][:k])))
+        if len(use):
+            s = scale[use]
+            system = g["cov"][np.ix_(use, use)] / np.outer(s, s) + self.alpha / g["n"] * np.eye(len(use))
+            weights[use] = np.linalg.solve(system, g["cov"][use, k] / s) / s
+        return RidgeModel(self.features, weights.tolist(), float(g["mean"][k] - weights @ g["mean"][:k]), self.name)
 
 
 # ---------------------------------------------------------------------------

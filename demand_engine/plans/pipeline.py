@@ -130,6 +130,7 @@ def run_pipeline(sales: DataFrame, stores: DataFrame, cfg: PipelineConfig | None
     ranked = keep(compare_models(evaluate_models(scored, model_columns(models))))
     forecasts = with_best_prediction(scored, ranked, models)
 
+    box = keep(charts.sales_distribution_by_type(store_weekly, value_col=cfg.target))
     stats = compute_demand_stats(train, "Store", cfg.target)
     plan = keep(build_inventory_plan(stats, forecasts, cfg.inventory))
     out = {
@@ -150,8 +151,8 @@ def run_pipeline(sales: DataFrame, stores: DataFrame, cfg: PipelineConfig | None
         "actual_vs_predicted": charts.actual_vs_predicted_data(forecasts, list(model_columns(models).values())),
         "model_comparison_chart": charts.model_comparison_data(ranked),
         "inventory_scatter": charts.inventory_scatter_data(plan),
-        "sales_by_type": charts.sales_distribution_by_type(store_weekly, value_col=cfg.target),
-        "sales_outliers": charts.sales_outliers_by_type(store_weekly, value_col=cfg.target),
+        "sales_by_type": box,
+        "sales_outliers": charts.sales_outliers_by_type(store_weekly, value_col=cfg.target, box=box),
         "residuals": charts.residual_data(forecasts),
     }
     out["residual_histogram"] = charts.residual_histogram(out["residuals"])
