@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -145,7 +146,8 @@ def quality_scores(
 ) -> DataFrame:
     """One row per document: held_out, score (0 to 1), predicted."""
     model = fit(*labelled_sample(docs, labels, id_col, text_col, label_col, max_labelled, folds), dims, k, power, prior)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: executors need not have this package's classes
+    shared = docs.sparkSession.sparkContext.broadcast(SimpleNamespace(**vars(model)))
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

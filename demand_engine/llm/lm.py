@@ -24,6 +24,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -175,7 +176,8 @@ def gather_counts(pieces: DataFrame, answers: DataFrame) -> Counts:
 def resolve(pieces: DataFrame, answers: DataFrame, counts: Counts, id_kind: str) -> DataFrame:
     """A row per piece: ids, held, n_tokens, n_known, base, inside (the sum
     of log10 p(word | class)) and the classes of its tokens, ends included."""
-    shared = pieces.sparkSession.sparkContext.broadcast(counts)
+    # plain values: executors need not have this package's classes
+    shared = pieces.sparkSession.sparkContext.broadcast(SimpleNamespace(own=counts.own, mass=counts.mass, ends=counts.ends, floor=counts.floor))
 
     def run(key: tuple, own: pa.Table, got: pa.Table) -> pa.Table:
         m = shared.value

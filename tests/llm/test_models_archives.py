@@ -130,3 +130,18 @@ def test_archives_are_plain_gzip_members(spark):
 def test_ranges_are_joined():
     rows = [("a", 0, 10), ("a", 10, 5), ("a", 40, 5), ("b", 45, 5), ("b", 50, 100)]
     assert list(warc.coalesced(rows, 10, 60)) == [("a", 0, 15, [0, 1]), ("a", 40, 45, [2]), ("b", 45, 50, [3]), ("b", 50, 150, [4])]
+
+
+@pytest.mark.parametrize("name", ["op3_lm_scores", "op8_quality_classifier", "op9_decontaminate", "op11_phrases", "op12_lexical_search", "op13_html_extraction"])
+def test_what_is_broadcast_needs_no_package_on_the_executors(spark, sf_small, monkeypatch, name):
+    import pickle
+
+    from pyspark import SparkContext
+
+    from demand_engine.llm import queries
+
+    sent = []
+    plain = SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(pickle.dumps(value)) or plain(self, value))
+    queries.QUERIES[name](spark, sf_small).limit(1).collect()
+    assert sent and not any(b"demand_engine" in x for x in sent)
