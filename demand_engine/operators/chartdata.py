@@ -186,14 +186,17 @@ def quartiles_by_type(store_weekly: DataFrame, value_col: str = "Weekly_Sales",
     A mergeable quantile sketch of fixed size brackets each wanted rank: a
     value it names for a share lies within ``1 / accuracy`` of that share. A
     second pass counts what lies below each bracket and keeps only the values
-    inside (some ``6 / accuracy`` of the rows), by which the rank is found.
+    inside (some ``30 / accuracy`` of the rows; all of a type of no more than
+    ``accuracy`` rows), by which the rank is found.
     Both passes are partial aggregates; no type meets in one task. Were a
     rank outside its bracket, the query would fail rather than be wrong.
     """
     rows = store_weekly.filter(F.col(value_col).isNotNull()).select("Type", F.col(value_col).alias("_v"))
-    slack = 3.0 / accuracy
+    slack = 5.0 / accuracy  # the sketch's error, and two ranks more from ``accuracy`` rows on
     shares = [x for q, _ in _QUARTILES for x in (max(0.0, q - slack), min(1.0, q + slack))]
-    bounds = rows.groupBy("Type").agg(F.percentile_approx("_v", F.lit(shares), F.lit(accuracy)).alias("_b"))
+    bounds = rows.groupBy("Type").agg(F.percentile_approx("_v", F.lit(shares), F.lit(accuracy)).alias("_b"), F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    whole = F.array(*[F.col("_min"), F.col("_max")] * len(_QUARTILES))
+    bounds = bounds.select("Type", F.when(F.col("_n") <= accuracy, whole).otherwise(F.col("_b")).alias("_b"))
     names = [name for _, name in _QUARTILES]
     marks = [F.struct(F.lit(name).alias("name"), F.lit(q).alias("q"), F.col("_b")[2 * i].alias("lo"), F.col("_b")[2 * i + 1].alias("hi")) for i, (q, name) in enumerate(_QUARTILES)]
     joined = rows.join(bounds, rows["Type"].eqNullSafe(bounds["Type"])).drop(bounds["Type"])

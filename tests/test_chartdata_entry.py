@@ -63,6 +63,18 @@ def test_box_plot_counts_ties_and_single_rows(spark):
     assert got["B"]["median"] == pytest.approx(3e-6)
 
 
+@pytest.mark.parametrize("accuracy", [100, 1_000])
+def test_quartiles_between_brackets(spark, accuracy):
+    rng = np.random.default_rng(accuracy)
+    groups = {"A": rng.normal(size=5_001), "B": rng.integers(0, 4, 3_000).astype(float), "C": rng.exponential(size=accuracy + 1), "D": rng.normal(size=accuracy), "E": np.array([2.0]), None: rng.normal(size=1_203).round(1)}
+    rows = [(t, float(x) * 1e6) for t, v in groups.items() for x in v]
+    got = {r["Type"]: r for r in charts.quartiles_by_type(spark.createDataFrame(rows, "Type string, Weekly_Sales double").repartition(5), accuracy=accuracy).collect()}
+    assert set(got) == set(groups)
+    for t, v in groups.items():
+        assert got[t]["n"] == len(v)
+        np.testing.assert_allclose([got[t][c] for c in ("q1", "median", "q3")], np.quantile(v, [0.25, 0.5, 0.75]), rtol=1e-9, atol=1e-12)
+
+
 def test_histogram_values_on_edges(spark):
     for values, bins in (([0.0, 0.3, 0.6, 0.7, 1.0], 10), ([i / 7 for i in range(8)], 7), ([-0.1 * i for i in range(31)], 30)):
         df = spark.createDataFrame([(v,) for v in values], "r double")
