@@ -1,8 +1,8 @@
 """DuckDB SQL for the numbered queries that SQL can express.
 
-The others have none: language model and classifier are trained, mixing and
-line chunks depend on hash functions that SQL lacks; tests/llm holds them
-against brute force.
+The others have none: language model, classifier and block labeller are
+trained, mixing depends on hash functions that SQL lacks, and line chunks have
+none yet; tests/llm holds them against brute force or held-out rows.
 """
 
 from __future__ import annotations
