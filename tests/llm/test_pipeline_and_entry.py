@@ -1,7 +1,10 @@
 """The corpus pipeline stage by stage, the registration, and the SQL of the numbered queries."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -19,11 +22,22 @@ def test_registration():
 
     found = se.queries()
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) <= set(found) and found["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and set(QUERIES) <= set(found) and found["pipeline"] is corpus_pipeline.run
     assert set(ORACLE_SQL) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "decontamination", "mixing"]
 
 
+@pytest.mark.parametrize("hidden", ["xxhash", "zstandard"])
+def test_entry_without_a_library_of_the_subpackage(hidden):
+    """The other queries stay where the subpackage cannot be imported."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as se; q = se.queries(); print('FOUND', len(q), any(k.startswith('op') for k in q), len(se.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, cwd=root, timeout=120)
+    assert out.returncode == 0, out.stderr[-1000:]
+    n, numbered, sql = out.stdout.split("FOUND ")[1].split()
+    assert int(n) >= 82 and numbered == "False" and int(sql) >= 74
+
+
 def test_pipeline_stages_narrow_the_documents(spark, sf_small):
     docs = before = spark.read.parquet(f"{sf_small}/documents.parquet")
     counts = [docs.count()]
