@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.nulls import clip_lower, safe_div
 from ..session import materialize
 from .common import attach_scalars
-from .prefix import running_count
 
 MILLION = 1e6
 
