@@ -16,7 +16,7 @@ import time
 from .config import HOLDOUT_WEEKS, SERVICE_LEVEL, InventoryParams, LeafTreeParams
 from .plans.pipeline import ALL_MODELS, PipelineConfig, run_pipeline, write_outputs
 from .plans.report import executive_summary, report_lines
-from .session import get_spark, release
+from .session import get_spark, table_scope
 from .sources import load_raw_csv, load_raw_data, write_text
 
 
@@ -40,15 +40,15 @@ def main(argv: list[str] | None = None) -> int:
     cfg = PipelineConfig(holdout_weeks=args.holdout_weeks, trees=LeafTreeParams(n_estimators=args.tree_rounds),
                          inventory=InventoryParams(service_level=args.service_level),
                          models=tuple(m for m in args.models.split(",") if m))
-    out = run_pipeline(sales, stores, cfg)
-    out.pop("models")
-    write_outputs(out, args.out, fmt=args.format)
-    summary = executive_summary(out["store_weekly"], out["model_comparison"], out["inventory_plan"], cfg.holdout_weeks)
-    lines = report_lines(summary, out["model_comparison"], cfg.inventory.lead_time_weeks, cfg.inventory.service_level)
-    write_text(lines.orderBy("line_no").select("value"), f"{args.out.rstrip('/')}/executive_summary")
-    for row in lines.orderBy("line_no").collect():  # a few dozen report lines
-        print(row["value"])
-    release(spark)
+    with table_scope(spark):  # shared tables go once the outputs are written
+        out = run_pipeline(sales, stores, cfg)
+        out.pop("models")
+        write_outputs(out, args.out, fmt=args.format)
+        summary = executive_summary(out["store_weekly"], out["model_comparison"], out["inventory_plan"], cfg.holdout_weeks)
+        lines = report_lines(summary, out["model_comparison"], cfg.inventory.lead_time_weeks, cfg.inventory.service_level)
+        write_text(lines.orderBy("line_no").select("value"), f"{args.out.rstrip('/')}/executive_summary")
+        for row in lines.orderBy("line_no").collect():  # a few dozen report lines
+            print(row["value"])
     print(f"Pipeline completed in {time.time() - t0:.1f}s.")
     return 0
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ..config import TREE_FEATURES, TREES_NAME, LeafTreeParams
 from ..functions.formatting import prediction_column_name
 from ..functions.nulls import clip_negative, fill_zero
-from ..session import materialize
+from ..session import materialize, table_scope
 from .split import validation_flag
 
 # The functions that run in tasks travel with them: executors need not have
@@ -385,6 +385,11 @@ class LeafTreesForecaster:
         self.target = target
 
     def fit(self, train: DataFrame) -> LeafTreesModel:
+        """The model holds its trees itself; the tables of the fit go with it."""
+        with table_scope(train.sparkSession):
+            return self._fit(train)
+
+    def _fit(self, train: DataFrame) -> LeafTreesModel:
         p, spark = self.params, train.sparkSession
         names = [c for c in self.features if c in train.columns]
         flagged = validation_flag(train, p.validation_fraction, p.validation_mode)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import skewed_left_join
+
 SALES_KEYS = ["Store", "Date", "IsHoliday"]
 STORE_WEEK_KEYS = ["Store", "Date", "IsHoliday", "Type", "Size"]
 
@@ -25,6 +27,12 @@ def enrich_stores(sales: DataFrame, stores: DataFrame, key: str = "Store") -> Da
     return sales.join(stores, key, "left")
 
 
+def enrich_stores_skewed(sales: DataFrame, stores: DataFrame, key: str = "Store", share: float | None = None) -> DataFrame:
+    """``enrich_stores`` for a store table too large to broadcast and a few
+    stores that hold most sales rows (see ``skew.skewed_left_join``)."""
+    return skewed_left_join(sales, stores, key, share)
+
+
 def _complete_stores(stores: DataFrame) -> DataFrame:
     """Store rows that can form a group key (grouping drops missing keys)."""
     return stores.filter(F.col("Store").isNotNull() & F.col("Type").isNotNull() & F.col("Size").isNotNull())

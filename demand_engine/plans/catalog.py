@@ -25,7 +25,7 @@ from ..operators import profiles as pr
 from ..operators import split as sp
 from ..operators.baselines import MovingAverageForecaster, NaiveForecaster, naive_last
 from ..operators.boosting import LeafTreesForecaster
-from ..operators.clean import build_store_weekly, clean_sales, drop_incomplete, enrich_stores
+from ..operators.clean import build_store_weekly, clean_sales, drop_incomplete, enrich_stores, enrich_stores_skewed
 from ..session import fresh_path, materialize
 from ..sources import tables
 from ..sources.sinks import write_table
@@ -242,6 +242,11 @@ def enrich_stores_q(c: Ctx) -> DataFrame:
     return rounded(enrich_stores(c.sales, c.stores), {"Weekly_Sales": 2})
 
 
+def enrich_stores_skewed_q(c: Ctx) -> DataFrame:
+    """The store join with stores that hold half a task's rows apart."""
+    return rounded(enrich_stores_skewed(c.sales, c.stores), {"Weekly_Sales": 2})
+
+
 def store_weekly(c: Ctx) -> DataFrame:
     return rounded(c.store_weekly, {"Weekly_Sales": 2})
 
@@ -615,6 +620,7 @@ _REGISTRY: dict[str, Callable[[Ctx], DataFrame]] = {
     "train_rows": train_rows,
     "holdout_rows": holdout_rows,
     "enrich_stores": enrich_stores_q,
+    "enrich_stores_skewed": enrich_stores_skewed_q,
     "type_code_lookup": type_code_lookup,
     "store_weekly": store_weekly,
     "first_date": first_date,

@@ -321,6 +321,7 @@ def oracle_sql() -> dict[str, str]:
         FROM features f, cutoff c WHERE f.Date >= c.cutoff_date""", "cutoff")
     sq["enrich_stores"] = with_ctes("""SELECT s.Store, s.Date, round(s.Weekly_Sales, 2) AS Weekly_Sales, s.IsHoliday,
         t.Type, t.Size FROM sales s LEFT JOIN stores t ON s.Store = t.Store""", "sales", "stores")
+    sq["enrich_stores_skewed"] = sq["enrich_stores"]
     sq["type_code_lookup"] = with_ctes("""SELECT Type,
         CAST(CASE Type WHEN 'A' THEN 0 WHEN 'B' THEN 1 WHEN 'C' THEN 2 END AS INTEGER) AS type_code
         FROM (SELECT DISTINCT Type FROM store_weekly)""", "store_weekly")

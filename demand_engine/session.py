@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,13 +76,16 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
-_INTERMEDIATES: list[str] = []
+#: Tables written outside any scope live until ``release``.
+_PROCESS: list[str] = []
+_OPEN: ContextVar[list[str]] = ContextVar("intermediate_tables", default=_PROCESS)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, deleted by ``release``."""
+    """A new path under the shared folder, deleted with the scope that is
+    open now (see ``table_scope``), or by ``release`` where none is."""
     path = shared_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
-    _INTERMEDIATES.append(path)
+    _OPEN.get().append(path)
     return path
 
 
@@ -94,10 +100,40 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables that this process has written; call it
-    once the results that read them are written elsewhere."""
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, also after
+    an error. Write what must outlive them elsewhere before. Scopes nest, and
+    each thread has its own."""
+    held: list[str] = []
+    token = _OPEN.set(held)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        _delete(spark, held)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str = "table") -> DataFrame:
+    """The rows of ``make()`` as a table of the scope open now; the tables
+    that ``make`` writes on the way are deleted once that one is complete,
+    so they last no longer than their last reader."""
+    path = fresh_path(spark, name)
+    with table_scope(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _INTERMEDIATES:
-        path = jvm.org.apache.hadoop.fs.Path(_INTERMEDIATES.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written outside
+    of scopes; call it once the results that read them are written elsewhere."""
+    _delete(spark, _PROCESS)
