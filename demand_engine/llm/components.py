@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import materialise, settled
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is written to the shared folder, so a lost executor costs a
     re-read of one small table; the rounds grow with the logarithm of the
-    nodes."""
+    nodes, and go once the result is written."""
+    return settled(edges.sparkSession, lambda: _settling(edges), "components")
+
+
+def _settling(edges: DataFrame) -> DataFrame:
     now = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     was, mark = None, _signature(now)
     while mark != was:

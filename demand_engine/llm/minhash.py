@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import textops as tx
 from .components import components
-from .scratch import materialise
+from .scratch import materialise, settled
 
 BANDS, ROWS = 32, 5
 #: Pairs whose signatures agree in fewer places can't reach the threshold
@@ -251,7 +251,7 @@ def confirmed_in_groups(pairs: DataFrame, sets: DataFrame, similarity: int) -> D
     """Links (u, v) of any pairs (a, b): pairs are grouped by connection, the
     members of a large group dealt into blocks, and the pairs of two blocks
     meet in one task with the sets that they name."""
-    label = materialise(components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    label = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     of = label.select(F.col("node").alias("id"), F.col("component").alias("g"))
     named = pairs.join(of.withColumnRenamed("id", "a"), "a")
     n_pairs = named.groupBy("g").agg(F.count("*").alias("n_pairs"))
@@ -292,7 +292,13 @@ def _still_apart(pairs: DataFrame, comps: DataFrame) -> bool:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: int = 80) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
+    """One row per document: id, n_shingles, component_id, kept. Written to
+    the shared folder when it is called; the tables it takes on the way are
+    deleted then."""
+    return settled(docs.sparkSession, lambda: _near_duplicates(docs, id_col, text_col, shingle, similarity), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: int) -> DataFrame:
     drawn = materialise(sketches(docs, id_col, text_col, shingle), "sketches")
     usable = drawn.where("id is not null and n_shingles > 0").withColumn("id", F.col("id").cast("long"))
     # a class of equal sets is numbered by its digest and held by its smallest id
@@ -314,11 +320,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = classes.select("id", "rep", "digest").join(members.select("id").distinct(), "id")
     sets = materialise(full_sets(docs, wanted, id_col, text_col, shingle), "sets")
     links = materialise(_same_id(usable).union(confirmed(best, sets, similarity)), "links")
-    comps = materialise(components(links), "components")
+    comps = components(links)
     for width in (4, 8):
         rest = materialise(apart_in_buckets(members, classes, sets, comps, similarity, least, width), "rest")
         links = links.union(materialise(confirmed_in_groups(rest, sets, similarity), "links"))
-        comps = materialise(components(links), "components")
+        comps = components(links)
         if not _still_apart(rest, comps):  # all links held
             break
 

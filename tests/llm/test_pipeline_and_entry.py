@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from demand_engine.llm.queries import ORACLE_SQL, QUERIES
-from demand_engine.llm.scratch import materialise
+from demand_engine.llm.scratch import materialise, table_scope
+from demand_engine.session import shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -179,3 +180,17 @@ def test_queries_equal_their_sql(spark, sf_small, name):
     names = [d[0] for d in res.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted((str(tuple(r[c] for c in names)) for r in df.collect())) == sorted(str(tuple(r)) for r in res.fetchall())
+
+
+def _tables(spark):
+    folder = shared_path(spark, "tables").removeprefix("file:")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_the_run_and_op2_leave_their_result_only(spark, sf_small):
+    for make, name in ((corpus_pipeline.run, "mixing"), (QUERIES["op2_near_duplicates"], "near-duplicates")):
+        before = _tables(spark)
+        with table_scope(spark):
+            assert make(spark, sf_small).count()
+            assert [x.rsplit("-", 1)[0] for x in _tables(spark) - before] == [name]
+        assert _tables(spark) == before
