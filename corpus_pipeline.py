@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from demand_engine.llm import decontaminate, linededup, minhash, mixing, quality_rules
-from demand_engine.llm.scratch import materialise
+from demand_engine.llm.scratch import settled
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return docs
+    """All stages over ``documents``, each written to the shared folder. What
+    a stage reads and writes on the way goes once its own rows are written."""
+
+    def after(stages: int) -> DataFrame:
+        if not stages:
+            return spark.read.parquet(f"{sf_dir}/documents.parquet")
+        name, stage = STAGES[stages - 1]
+        return settled(spark, lambda: stage(spark, after(stages - 1), sf_dir), name)
+
+    return after(len(STAGES))
 
 
 #: Minima of 64-bit hashes, components and thresholds have no short SQL form;
