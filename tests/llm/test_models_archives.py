@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -28,31 +29,126 @@ def test_lm_counts_and_base_scores(spark):
     rows = [(i, " ".join(rng.choice(["The", "the", "of", "é!", "rare%d" % i, "x."], rng.integers(0, 30)))) for i in range(80)]
     rows += [(None, "the of"), (90, None), (91, ""), (3, rows[3][1])]
     df = spark.createDataFrame([(int(i) if i is not None else None, t) for i, t in rows], "doc_id long, text string").withColumns({"held": F.lit(1), "piece": F.lit("x")})
-    got = lm.score_documents(df, steps=20, bucket_bytes=200).collect()
+    got = lm.score_documents(df, least_steps=5, bucket_bytes=200).collect()
     have = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got)
     assert have == sorted((*x[:5], round(x[5], 6)) for x in _base_scores(rows))
     assert all(r["score"] < 0 for r in got)
     assert lm.score_documents(df.limit(0)).count() == 0
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    docs = [(i, "a b c a b. d" if i % 2 else "b a e f") for i in range(30)]
-    pieces = lm.materialise(lm.read_pieces(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", 7, 2, 2), "t")
-    answers = lm.materialise(lm.count_words(pieces.where("kind = 1").select("piece", "bucket", "a", "b")), "t")
-    counts = lm.gather_counts(pieces.where("kind = 0"), answers)
-    c = Counter(w for i, t in docs if _held(i, 7) != 2 for w in t.split())
-    # every known word is a class of its own here, besides one unknown word for each rare class
-    assert sorted(counts.mass[: len(c)].tolist()) == sorted(n + 1 for n in c.values())
-    assert counts.mass[lm.TOP_WORDS : lm.TOP_WORDS + 4].tolist() == [1, 1, 1, 1] and counts.mass[lm._END] == 1
-    code = np.array([(0 * lm.CLASSES + 1) * lm.CLASSES + 2])
-    table = lm.train(code, np.array([5]), 8, 30, 10.0, 0.05, 0.05)
-    np.testing.assert_allclose((10.0 ** table.astype(np.float64)).sum(1), 1, rtol=1e-4)
+def _small_model(words=40, dims=6, seed=3):
+    mass = np.random.default_rng(seed).integers(1, 200, lm.TAIL + 1 + words).astype(float)
+    return lm.tables(SimpleNamespace(mass=mass, ends=50), dims)
+
+
+def _texts(m, lengths, seed=4):
+    return np.random.default_rng(seed).integers(0, len(m.share), sum(lengths)), np.array(lengths, np.int64)
+
+
+def _plain_context(m, text, at):
+    one, two = (int(text[at - k]) if at >= k else lm._END for k in (1, 2))
+    near = [m.bag[int(w)].astype(float) for w in text[max(0, at - lm.WINDOW) : at]]
+    h = m.two[two].astype(float) + m.one[one] + (np.mean(near, axis=0) if near else 0)
+    return np.append(h[:-1], 1.0), one, two
+
+
+def test_lm_own_words_follow_the_corpus(spark):
+    rows = [(i, " ".join([f"w{j}" for j in range(40) if i % (j + 1) == 0] + ["x." * (i % 3)])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, counts = lm.resolved_documents(df, "doc_id", "text", 7, 2, 200)
+    c = Counter(w for i, t in rows if _held(i, 7) != 2 for w in t.split())
+    size = sum(len(t) for _, t in rows)
+    own = sorted((n + 1 for n in c.values() if n >= lm.least_count(size)), reverse=True)
+    assert len(own) > 10 and counts.mass[lm.TAIL + 1 :].tolist() == own
+    # every other known word is in a class, with one unknown word for each shape
+    assert counts.mass[: lm.TAIL].sum() == sum(n + 1 for n in c.values() if n < lm.least_count(size)) + lm._SHAPES
+    sizes = [10**k for k in range(4, 15)]
+    words = [s**0.4 * lm.OWN_SCALE / 2 for s in sizes]
+    assert all(s / 2 / lm.least_count(s) <= 1.1 * w for s, w in zip(sizes[2:], words[2:], strict=True)) and words == sorted(words)
+
+
+def test_lm_probabilities_sum_to_one_and_equal_a_plain_version():
+    m = _small_model()
+    classes, lengths = _texts(m, [30, 1, 45, 2])
+    lm.learn(m, classes, lengths, 3, 16, 3.0, 8, 0.2, 0.3, 1)
+    v = len(m.share)
+    # the same context before every word
+    texts = np.column_stack((np.full(v, 5), np.full(v, v - 1), np.arange(v))).reshape(-1)
+    first = np.repeat(np.arange(v) * 3, 3)
+    p = 10 ** lm.log_probabilities(m, texts, first, 0, len(texts), 0.05)
+    assert p.reshape(v, 3)[:, 2].sum() == pytest.approx(1, abs=1e-5)
+    h, _, _ = _plain_context(m, [5, v - 1], 2)
+    for w in range(0, v, 17):
+        g = m.group[w]
+        among = np.exp(m.groups.astype(float) @ h)
+        inside = {x: math.exp(m.out[x].astype(float) @ h) for x in range(v) if m.group[x] == g}
+        want = 0.95 * among[g] / among.sum() * inside[w] / sum(inside.values()) + 0.05 * m.share[w]
+        assert p[3 * w + 2] == pytest.approx(want, rel=1e-4)
+    # cut anywhere, a text has the same probabilities
+    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    whole = lm.log_probabilities(m, classes, first, 0, len(classes), 0.05)
+    cut = np.concatenate([lm.log_probabilities(m, classes, first, a, min(a + 7, len(classes)), 0.05) for a in range(0, len(classes), 7)])
+    np.testing.assert_allclose(whole, cut, atol=1e-4)
+
+
+def test_lm_step_equals_plain_noise_contrastive_estimation():
+    noise, draws, rate, ease, seed = 3.0, 8, 0.2, 0.3, 1
+    m, was = _small_model(), _small_model()
+    lengths = [20, 1, 5]
+    classes, sizes = _texts(m, lengths)
+    lm.learn(m, classes, sizes, 1, 100, noise, draws, rate, ease, seed)
+    draw = np.random.default_rng(seed)
+    draw.permutation(1)
+    drawn = [np.searchsorted(np.cumsum(p), draw.random(draws)) for p in (was.share, was.of_group)]
+    slopes = {k: np.zeros(getattr(was, k).shape) for k in lm.VECTORS}
+    start = 0
+    for n in lengths:
+        text = classes[start : start + n]
+        start += n
+        for at, w in enumerate(text):
+            h, one, two = _plain_context(was, text, at)
+            back = np.zeros(len(h))
+            for k, target, sample, p in (("out", w, drawn[0], was.share), ("groups", was.group[w], drawn[1], was.of_group)):
+                table = getattr(was, k).astype(float)
+                for c, weight, real in [(target, 1.0, 1.0), *((c, noise / draws, 0.0) for c in sample)]:
+                    odds = 1 / (1 + math.exp(-(table[c] @ h - math.log(noise * p[c]))))
+                    slopes[k][c] += weight * (odds - real) * h
+                    back += weight * (odds - real) * table[c]
+            back[-1] = 0
+            slopes["one"][one] += back
+            slopes["two"][two] += back
+            near = text[max(0, at - lm.WINDOW) : at]
+            for x in near:
+                slopes["bag"][x] += back / len(near)
+    for k in lm.VECTORS:
+        size = ease + (slopes[k] ** 2).mean(1, keepdims=True)
+        np.testing.assert_allclose(getattr(m, k), getattr(was, k) - rate * slopes[k] / np.sqrt(size), atol=2e-5)
+
+
+def test_lm_round_averages_the_pieces(spark):
+    m = _small_model()
+    how = {"passes": 1, "batch": 16, "noise": 3.0, "draws": 8, "rate": 0.2, "ease": 0.3}
+    pieces = [(_texts(m, [12, 9], s), [False, s == 1]) for s in range(3)]
+    rows = [(lm._squeeze(c.astype("<i4")), n.tolist(), held) for (c, n), held in pieces]
+    got = lm.one_round(spark.createDataFrame(rows, "classes binary, n_tokens array<long>, held array<boolean>").repartition(2), m, **how)
+    change, weight = {k: 0.0 for k in lm.VECTORS}, {k: 0.0 for k in lm.VECTORS}
+    for (c, n), held in pieces:
+        kept = c[np.repeat(~np.array(held), n)]
+        own = _small_model()
+        lm.learn(own, kept, n[~np.array(held)], seed=len(kept), **how)
+        met = np.bincount(kept, minlength=len(m.share)).astype(float)
+        w = dict.fromkeys(lm.VECTORS, met) | {"out": met + 3.0 * len(kept) * m.share, "groups": np.bincount(m.group, met) + 3.0 * len(kept) * m.of_group}
+        for k in lm.VECTORS:
+            change[k] = change[k] + w[k][:, None] * (getattr(own, k) - getattr(m, k))
+            weight[k] = weight[k] + w[k][:, None]
+    for k in lm.VECTORS:
+        np.testing.assert_allclose(getattr(got, k), getattr(m, k) + change[k] / np.maximum(weight[k], 1e-9), atol=3e-5)
 
 
 def test_lm_beats_the_base_on_held_out_text(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
-    held = lm.score_documents(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
-    assert held["s"] > held["b"]
+    held = lm.score_documents(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert held["s"] - held["b"] > 0.1 * held["n"]
 
 
 def test_classifier_on_held_out_labels(spark, sf_small):
