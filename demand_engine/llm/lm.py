@@ -253,7 +253,9 @@ def tables(counts: Counts, dims: int) -> SimpleNamespace:
     for k, p in (("out", share), ("groups", of_group)):
         vectors[k][:, -1] = np.log(p)
     at = np.searchsorted(in_order, np.arange(len(of_group) + 1))
-    return SimpleNamespace(**vectors, share=share, of_group=of_group, group=group, order=order, at=at)
+    place = np.empty(len(share), np.int64)
+    place[order] = np.arange(len(share))
+    return SimpleNamespace(**vectors, share=share, of_group=of_group, group=group, order=order, place=place, at=at)
 
 
 VECTORS = ("two", "one", "bag", "out", "groups")
@@ -400,19 +402,17 @@ def log_probabilities(m: SimpleNamespace, classes: np.ndarray, first: np.ndarray
     group = m.group[target]
 
     def chosen(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-        scores -= scores.max(1, keepdims=True)
+        np.clip(scores, -60, 60, out=scores)
         np.exp(scores, out=scores)
         return scores[np.arange(len(at)), at] / scores.sum(1)
 
     p = chosen(h @ m.groups.T, group).astype(np.float64)
-    place = np.empty(len(m.order), np.int64)
-    place[m.order] = np.arange(len(m.order))
     order = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
         own = order[a:b]
         g = group[own[0]]
-        p[own] *= chosen(h[own] @ m.out[m.order[m.at[g] : m.at[g + 1]]].T, place[target[own]] - m.at[g])
+        p[own] *= chosen(h[own] @ m.out[m.order[m.at[g] : m.at[g + 1]]].T, m.place[target[own]] - m.at[g])
     return np.log10((1 - smooth) * p + smooth * m.share[target])
 
 
