@@ -3,8 +3,10 @@
 Rows are binned by global cut points. The tasks of a barrier stage keep their
 binned rows in memory and grow every tree together: each adds up histograms
 of its own rows (residual sums and counts by feature and bin), the tasks swap
-them with ``BarrierTaskContext.allGather``, and all find the same best splits
-from the sums. Only the smaller child of a split is added up, the other is
+them through files in the shared folder, and all find the same best splits
+from the sums. (``BarrierTaskContext.allGather`` takes about a second a swap,
+whatever its size; it is used once, to agree on a folder, and throughout where
+Arrow can't open the shared folder.) Only the smaller child of a split is added up, the other is
 its parent less that. The leaf with the best gain is split next, up to
 ``num_leaves``; since a leaf can only be split while enough splits are left,
 all leaves that may still be chosen are added up in one swap, so a tree costs
@@ -26,13 +28,17 @@ rows and value, as rows.
 from __future__ import annotations
 
 import base64
+import json
 import sys
+import time
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark import BarrierTaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +46,7 @@ from pyspark.sql import functions as F
 from ..config import TREE_FEATURES, TREES_NAME, LeafTreeParams
 from ..functions.formatting import prediction_column_name
 from ..functions.nulls import clip_negative, fill_zero
-from ..session import materialize, table_scope
+from ..session import fresh_path, materialize, table_scope
 from .split import validation_flag
 
 # The functions that run in tasks travel with them: executors need not have
@@ -262,11 +268,57 @@ def _gather_by_barrier(context: BarrierTaskContext) -> Gather:
     return gather
 
 
+def _gather_by_files(files: pafs.FileSystem, folder: str, me: int, tasks: int) -> Gather:
+    """The same through ``folder``, one file a task and swap. A task that has
+    all files of a swap knows that all have read the swap before, so it
+    deletes its own file of that one: a fit holds two files a task at most."""
+    swaps = 0
+
+    def gather(own: np.ndarray) -> list[np.ndarray]:
+        nonlocal swaps
+        mine = f"{folder}/{swaps}-{me}"
+        with files.open_output_stream(f"{mine}.part") as f:
+            f.write(own.astype(np.float64).tobytes())
+        files.move(f"{mine}.part", mine)  # a file is there whole or not at all
+        said: dict[int, np.ndarray] = {me: own.astype(np.float64)}
+        wait = 0.0005
+        while len(said) < tasks:
+            absent = [i for i in range(tasks) if i not in said]
+            found = [i for i, x in zip(absent, files.get_file_info([f"{folder}/{swaps}-{i}" for i in absent]), strict=True) if x.type == pafs.FileType.File]
+            for i in found:
+                with files.open_input_stream(f"{folder}/{swaps}-{i}") as f:
+                    said[i] = np.frombuffer(f.read()).reshape(own.shape)
+            if not found:
+                time.sleep(wait)
+            wait = 0.0005 if found else min(0.02, 1.5 * wait)
+        if swaps:
+            files.delete_file(f"{folder}/{swaps - 1}-{me}")
+        swaps += 1
+        return [said[i] for i in range(tasks)]
+
+    return gather
+
+
+def _gather_among(context: BarrierTaskContext, tasks: int, shared: str) -> Gather:
+    """Through files below ``shared`` where all tasks can open it, in a folder
+    that no other run of the job uses."""
+    try:
+        files, path = pafs.FileSystem.from_uri("file://" + shared[5:] if shared.startswith("file:/") and not shared.startswith("file://") else shared)
+        path = f"{path}/{uuid.uuid4().hex}"
+        files.create_dir(path)
+    except (pa.ArrowException, OSError, ImportError):
+        files = path = None
+    said = [json.loads(x) for x in context.allGather(json.dumps(path))]
+    if None in said:
+        return _gather_by_barrier(context)
+    return _gather_by_files(files, said[0], context.partitionId(), tasks)
+
+
 def fit_job(data: DataFrame, features: int, cuts: Sequence[np.ndarray], tasks: int, before: Sequence[Sequence[dict]], losses: Sequence[float], until: int, p: LeafTreeParams) -> DataFrame:
     """One barrier job over ``data`` (x0, x1, ..., y, is_validation): the new
     trees as rows of ``NODE_SCHEMA``. Tree -1 is the first margin."""
     settings = {f: getattr(p, f) for f in p.__dataclass_fields__}
-    first = len(before)
+    first, shared = len(before), fresh_path(data.sparkSession, "swaps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from types import SimpleNamespace
@@ -277,7 +329,7 @@ def fit_job(data: DataFrame, features: int, cuts: Sequence[np.ndarray], tasks: i
             y.append(b.column(features).to_numpy(zero_copy_only=False))
             is_val.append(b.column(features + 1).to_numpy(zero_copy_only=False).astype(bool))
         context = BarrierTaskContext.get()
-        gather = _gather_by_barrier(context) if tasks > 1 else lambda own: [own]
+        gather = _gather_among(context, tasks, shared) if tasks > 1 else lambda own: [own]
         number = first - (0 if first else 1)
         names = [x.split(" ")[0] for x in NODE_SCHEMA.split(", ")]
         for nodes in boost(np.concatenate(bins, axis=1), np.concatenate(y), np.concatenate(is_val), cuts, before, losses, until, SimpleNamespace(**settings), gather):

@@ -209,3 +209,59 @@ def test_cut_points():
     assert len(cuts) == 15 and sizes.min() > 600 and sizes.max() < 650
     heavy = bo.cut_points(np.r_[np.zeros(9_000), np.arange(1.0, 1_001.0)], 16)
     assert 0 < heavy[0] < 1
+
+
+def test_swaps_through_files_give_every_task_all_arrays_and_leave_few_files(tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyarrow import fs
+
+    tasks, swaps, held = 3, 40, []
+
+    def task(me):
+        gather = bo._gather_by_files(fs.LocalFileSystem(), str(tmp_path), me, tasks)
+        out = []
+        for k in range(swaps):
+            own = np.arange(6.0).reshape(2, 3) * (k + 1) + 100 * me if k % 3 else np.empty(0)
+            out.append(gather(own))
+            held.append(len(os.listdir(tmp_path)))
+        return out
+
+    with ThreadPoolExecutor(tasks) as pool:
+        got = list(pool.map(task, range(tasks)))
+    for k in range(swaps):
+        want = [np.arange(6.0).reshape(2, 3) * (k + 1) + 100 * t if k % 3 else np.empty(0) for t in range(tasks)]
+        for own in got:
+            assert len(own[k]) == tasks and all(np.array_equal(a, b) for a, b in zip(own[k], want, strict=True))
+    assert max(held) <= 2 * tasks and len(os.listdir(tmp_path)) == tasks
+
+
+def test_swaps_cost_no_second_each(spark):
+    """Three tasks swap some 100 times; a second each would pass the limit.
+    The folder of the swaps goes with the fit."""
+    import time
+
+    from demand_engine.session import shared_path
+
+    df = _frame(spark, 3_000)
+    p = LeafTreeParams(n_estimators=25, num_leaves=8, early_stopping_rounds=25, rows_per_task=1_200)
+    began = time.time()
+    m = LeafTreesForecaster(p, ["a", "b", "c", "d"]).fit(df)
+    assert m.rounds_fitted == 25 and time.time() - began < 45
+    folder = shared_path(spark, "tables").removeprefix("file:")
+    assert not [x for x in os.listdir(folder) if x.startswith(("swaps", "trees"))]
+
+
+def test_a_shared_folder_that_arrow_cannot_open_leaves_the_barrier(spark):
+    rows = spark.range(4).repartition(2)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import BarrierTaskContext
+
+        for _ in batches:
+            pass
+        gather = bo._gather_among(BarrierTaskContext.get(), 2, "nosuchscheme://x/y")
+        yield pa.RecordBatch.from_pydict({"total": [float(sum(gather(np.array([2.0])))[0])]})
+
+    assert [r[0] for r in rows.mapInArrow(run, "total double", barrier=True).collect()] == [4.0, 4.0]
