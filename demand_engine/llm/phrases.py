@@ -45,6 +45,8 @@ LONGEST = 5
 TOP = 2000
 #: Groups by which a language's phrases are reduced before they meet.
 MERGE_GROUPS = 64
+#: Rows that a task sends at once; a piece of text may hold a million phrases.
+BATCH_ROWS = 1 << 16
 
 #: Bytes that end a piece: . , ; : ! ? and 0x0A to 0x0D.
 BREAK = np.zeros(256, bool)
@@ -91,15 +93,16 @@ def counted(docs: DataFrame, orders: Sequence[int], part: int = 0, bits: np.ndar
             coded = piece.column("lang").dictionary_encode()
             lang_hash = tx.hash_words(coded.dictionary.cast(pa.large_binary()))
             for buf, off in tx.parts(piece, "text", BREAK):
-                buf = tx.LOWER[buf]
+                buf = tx.lookup(tx.LOWER, buf)
                 starts, ends, at = tx.tokens(buf, off, WORD)
                 if not len(starts):
                     continue
                 ids, words = tx.word_ids(buf, starts, ends)
                 doc = np.searchsorted(at, np.arange(len(ids)), "right") - 1
-                breaks = np.cumsum(BREAK[buf])[starts]
+                breaks = np.searchsorted(np.flatnonzero(tx.lookup(BREAK, buf)), starts)
                 joined = (np.diff(breaks) == 0) & (np.diff(doc) == 0)
                 code = coded.indices.to_numpy().astype(np.int64)[doc]
+                del starts, ends, breaks, doc
                 hashes = tx.hash_words(words)[ids] if known.value is not None else ids.astype(np.uint64)
                 for order in orders:
                     place = _places(order, joined, hashes, lang_hash[code], part, known.value)
@@ -110,9 +113,12 @@ def counted(docs: DataFrame, orders: Sequence[int], part: int = 0, bits: np.ndar
                             key = np.unique(key, return_inverse=True)[1]
                     _, first, n = np.unique(key, return_index=True, return_counts=True)
                     place = place[first]
-                    text = [words.take(pa.array(ids[place + i])) for i in range(order)]
-                    text = pc.binary_join_element_wise(*text, pa.scalar(b" ", pa.large_binary())) if order > 1 else text[0]
-                    yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[place])), text.cast(pa.string()), pa.array(n.astype(np.int64))], ["lang", "phrase", "n"])
+                    del key, first
+                    for j in range(0, len(place), BATCH_ROWS):
+                        own = place[j : j + BATCH_ROWS]
+                        text = [words.take(pa.array(ids[own + i])) for i in range(order)]
+                        text = pc.binary_join_element_wise(*text, pa.scalar(b" ", pa.large_binary())) if order > 1 else text[0]
+                        yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(code[own])), text.cast(pa.string()), pa.array(n[j : j + BATCH_ROWS].astype(np.int64))], ["lang", "phrase", "n"])
                 if 1 in orders:
                     total = np.bincount(code)
                     own = np.flatnonzero(total)
