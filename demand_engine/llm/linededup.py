@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .scratch import materialise
+from .scratch import materialise, shuffles_dropped
 
 MIN_LINES = 2
 
@@ -98,7 +98,8 @@ def repeated_chunks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFr
     texts = docs.select(*_row_key(docs, id_col, text_col), docs[text_col].cast("binary").alias("bytes"))
     named = texts.join(wanted, _same_row(texts, wanted)).select("id", "th", "bytes", F.explode("spans").alias("s"))
     body = F.substring("bytes", (F.col("s.start") + 1).cast("int"), (F.col("s.end") - F.col("s.start")).cast("int"))
-    rows = materialise(named.select("id", "th", "s.*", body.alias("body")), "repeats")
+    with shuffles_dropped(docs.sparkSession):  # all texts, which are dealt again for the cut
+        rows = materialise(named.select("id", "th", "s.*", body.alias("body")), "repeats")
     first = rows.groupBy("h", "body").agg(F.min(_place()).alias("first"))
     elsewhere = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")))
     later = rows.join(first, ["h", "body"]).where(elsewhere | (F.col("idx") >= F.col("first.idx") + MIN_LINES))

@@ -1,10 +1,14 @@
 """What the operators leave on disk and take in memory."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from demand_engine.llm import phrases
+from demand_engine.llm import linededup, phrases
 from demand_engine.llm import textops as tx
+from demand_engine.session import shuffles_dropped
 
 
 def test_lookup_equals_indexing():
@@ -44,3 +48,34 @@ def test_phrases_of_a_piece_come_in_batches(spark):
         rows += zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase", "n")), strict=True)
     assert max(sizes) <= 1 << 16
     assert sorted(rows) == sorted([("en", x, 1) for x in [*words, *map(" ".join, zip(words, words[1:], strict=False))]] + [("en", "", len(words))])
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_line_dedup_leaves_no_shuffle_of_the_texts(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = [(i, f"own line {i}\nthe same\npassage here\nend {i % 7}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    before, was = _shuffle_files(spark), spark.conf.get(setting, None)
+    _, cuts = linededup.repeated_chunks(docs, "doc_id", "text")
+    until = time.monotonic() + 20
+    while _shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(setting, None) == was
+    assert cuts.count() == 199  # all but the first are cut
+
+
+def test_shuffles_dropped_restores_the_setting(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+            assert spark.conf.get(setting) == "true"
+            raise ZeroDivisionError
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting)
