@@ -1,16 +1,26 @@
 """What the operators leave on disk and take in memory."""
 
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from demand_engine.llm import linededup, phrases
+from demand_engine.llm import linededup, lm, phrases
 from demand_engine.llm import textops as tx
 from demand_engine.session import shuffles_dropped
 
 
+def _peak(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
 def test_lookup_equals_indexing():
     buf = np.random.default_rng(1).integers(0, 256, 1 << 16).astype(np.uint8)
     for table in (tx.LOWER, tx.SPACED, phrases.BREAK):
@@ -79,3 +89,20 @@ def test_shuffles_dropped_restores_the_setting(spark):
         assert spark.conf.get(setting) == "false"
     finally:
         spark.conf.unset(setting)
+
+
+def test_contrast_holds_one_matrix_of_odds():
+    draw = np.random.default_rng(2)
+    n, draws, width = 2048, 512, 4
+    h, table = (draw.normal(0, 1, (x, width)).astype(np.float32) for x in (n, 900))
+    h[:, -1] = 1
+    target, drawn = draw.integers(0, 900, n), draw.integers(0, 900, draws)
+    shift = draw.normal(0, 1, 900).astype(np.float32)
+    got = []
+    peak = _peak(lambda: got.extend(lm.contrast(h, table, target, drawn, shift, 3.0)))
+    assert peak < 1.6 * 4 * n * draws
+    odds = 1 / (1 + np.exp(shift[drawn] - h.astype(float) @ table[drawn].T)) * 3 / draws
+    up = 1 / (1 + np.exp(shift[target] - (h.astype(float) * table[target]).sum(1))) - 1
+    np.testing.assert_allclose(got[0], up[:, None] * table[target] + odds @ table[drawn], atol=1e-4)
+    assert got[1].tolist() == [*target, *drawn]
+    np.testing.assert_allclose(got[2], np.concatenate((up[:, None] * h, odds.T @ h)), atol=1e-4)
