@@ -121,7 +121,8 @@ class LeafTreeParams:
     validation_fraction: float = VALIDATION_FRACTION
     validation_mode: str = "chronological"
     seed: int = RANDOM_SEED
-    # Rows from which the cut points come.
+    # Rows that the driver takes to find the cut points. Where there are more,
+    # the cut points of all rows are found by passes over them.
     bin_sample_rows: int = 200_000
     # A task's share of the rows, and how many tasks share the work at most
     # (every task gets every other's histograms).

@@ -1,6 +1,6 @@
 """Gradient-boosted trees grown leaf by leaf, as one barrier job.
 
-Rows are binned by global cut points. The tasks of a barrier stage keep their
+Rows are binned by global cut points, which come from all training rows. The tasks of a barrier stage keep their
 binned rows in memory and grow every tree together: each adds up histograms
 of its own rows (residual sums and counts by feature and bin), the tasks swap
 them through files in the shared folder, and all find the same best splits
@@ -57,6 +57,10 @@ NODE_SCHEMA = "tree int, node int, left int, right int, feature int, bin int, th
 Gather = Callable[[np.ndarray], list[np.ndarray]]
 #: Residuals may grow to this many times the first largest one before they are clipped.
 HEADROOM = 8.0
+#: Rows that a task holds at once.
+BLOCK_ROWS = 1 << 17
+#: Ranges of a feature's values that one pass counts, and the largest key of a double.
+RANGES, LAST_KEY = 8_192, np.int64(2**63 - 1)
 
 
 def early_stop(losses: Sequence[float], patience: int) -> tuple[int, bool]:
@@ -78,12 +82,21 @@ def cut_points(values: np.ndarray, max_bins: int) -> np.ndarray:
     """At most ``max_bins - 1`` cuts that part the values into bins of like
     size; bin i holds what is above cut i - 1 and not above cut i."""
     distinct, counts = np.unique(values, return_counts=True)
-    if len(distinct) <= max_bins:
-        at = np.arange(len(distinct) - 1)
-    else:
-        below = np.cumsum(counts)
-        at = np.unique(np.searchsorted(below, below[-1] * np.arange(1, max_bins) / max_bins))
-        at = at[at < len(distinct) - 1]
+    return _cuts_between(distinct, _wanted(distinct, distinct, counts, max_bins))
+
+
+def _wanted(low: np.ndarray, high: np.ndarray, counts: np.ndarray, max_bins: int) -> np.ndarray:
+    """The places of the values that have a cut above them, among ascending
+    pieces (lowest and highest value, rows): all pieces while there may be no
+    more than ``max_bins`` values, else those that the wanted ranks fall in."""
+    if np.where(low < high, 2, 1).sum() <= max_bins:
+        return np.arange(len(low))
+    below = np.cumsum(counts)
+    return np.unique(np.searchsorted(below, below[-1] * np.arange(1, max_bins) / max_bins))
+
+
+def _cuts_between(distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
+    at = at[at < len(distinct) - 1]
     low, high = distinct[at], distinct[at + 1]
     return low + (high - low) / 2
 
@@ -416,14 +429,99 @@ class LeafTreesModel:
         return sorted(((f, gains[f] / total if total else 0.0, splits[f]) for f in self.features), key=lambda t: (-t[1], t[0]))
 
 
-def sampled(data: DataFrame, columns: Sequence[str], rows: int, count: int) -> np.ndarray:
-    """(features, rows): all rows, or where there are more than ``rows`` about
-    so many of them, chosen by their hashes (so however they are dealt)."""
-    df = data.select(*columns)
-    if count > rows:
-        df = df.where(F.xxhash64(*columns) <= F.lit(int(-(2**63) + rows / count * (2**64 - 2**11))))
-    table = df.toArrow()
-    return np.stack([table.column(c).to_numpy() for c in columns])
+def as_keys(values: np.ndarray) -> np.ndarray:
+    """Doubles as integers in the same order, both zeros as one."""
+    bits = (np.asarray(values, np.float64) + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ LAST_KEY, bits)
+
+
+def from_keys(keys: np.ndarray) -> np.ndarray:
+    return np.where(keys < 0, keys ^ LAST_KEY, keys).view(np.float64)
+
+
+def _parted(first: np.ndarray, last: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of keys, each in at most so many parts of like width."""
+    firsts, lasts = [], []
+    for a, z in zip(first.tolist(), last.tolist(), strict=True):
+        width = z - a + 1
+        edges = sorted({a + width * i // parts for i in range(parts)})
+        firsts += edges
+        lasts += [*(x - 1 for x in edges[1:]), z]
+    return np.array(firsts, np.int64), np.array(lasts, np.int64)
+
+
+def _pieces(data: DataFrame, columns: Sequence[str], asked: dict[int, tuple[np.ndarray, np.ndarray, bool]]) -> pa.Table:
+    """What all rows hold in the asked ranges of keys: for each feature and
+    range with rows its lowest and highest key and the number of rows; where
+    the third part is true, the same for each key inside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {f: (np.full(len(first), LAST_KEY), np.full(len(first), -LAST_KEY - 1), np.zeros(len(first), np.int64)) for f, (first, _, each) in asked.items() if not each}
+        names = ["feature", "part", "low", "high", "n"]
+
+        def rows(f: int, part: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), f, np.int32)), *(pa.array(x.astype(np.int64)) for x in (part, low, high, n))], names)
+
+        def look(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for values, (f, (first, last, each)) in zip(held, asked.items(), strict=True):
+                keys = np.sort(as_keys(np.concatenate(values)))
+                start, end = np.searchsorted(keys, first, "left"), np.searchsorted(keys, last, "right")
+                some = np.flatnonzero(end > start)
+                if each and len(some):
+                    inside, n = np.unique(np.concatenate([keys[a:z] for a, z in zip(start[some], end[some], strict=True)]), return_counts=True)
+                    yield rows(f, inside, inside, inside, n)
+                elif len(some):
+                    low, high, n = found[f]
+                    low[some] = np.minimum(low[some], keys[start[some]])
+                    high[some] = np.maximum(high[some], keys[end[some] - 1])
+                    n[some] += (end - start)[some]
+
+        held, count = [[] for _ in asked], 0
+        for b in batches:
+            for own, x in zip(held, b.columns, strict=True):
+                own.append(x.to_numpy(zero_copy_only=False))
+            count += b.num_rows
+            if count >= BLOCK_ROWS:
+                yield from look(held)
+                held, count = [[] for _ in asked], 0
+        if count:
+            yield from look(held)
+        for f, (low, high, n) in found.items():
+            some = np.flatnonzero(n)
+            if len(some):
+                yield rows(f, asked[f][0][some], low[some], high[some], n[some])
+
+    parts = data.select(*[columns[f] for f in asked]).mapInArrow(run, "feature int, part long, low long, high long, n long")
+    return parts.groupBy("feature", "part").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).toArrow()
+
+
+def all_cut_points(data: DataFrame, columns: Sequence[str], rows: int, count: int, max_bins: int) -> list[np.ndarray]:
+    """``cut_points`` of each column over all its ``count`` rows. Up to
+    ``rows`` rows come to the driver. Beyond, passes over the rows count them
+    in ranges of values; a pass parts only the ranges that hold the value of
+    a wanted rank, until those are single values. The driver holds some
+    thousand ranges a feature, and values only once few rows are left."""
+    if count <= rows:
+        table = data.select(*columns).toArrow()
+        return [cut_points(table.column(c).to_numpy(), max_bins) for c in columns]
+    pieces = [(np.array([-LAST_KEY - 1]), np.array([LAST_KEY]), np.array([count])) for _ in columns]
+    while True:
+        asked, opened = {}, {}
+        for f, (low, high, n) in enumerate(pieces):
+            at = _wanted(low, high, n, max_bins)
+            at = at[low[at] < high[at]]
+            if len(at):
+                opened[f], each = at, int(n[at].sum()) <= rows // 4
+                asked[f] = (low[at], high[at], True) if each else (*_parted(low[at], high[at], max(2, RANGES // len(at))), False)
+        if not asked:
+            break
+        table = _pieces(data, columns, asked)
+        feature, found = table.column("feature").to_numpy(), [table.column(c).to_numpy() for c in ("low", "high", "n")]
+        for f, at in opened.items():
+            merged = [np.concatenate([np.delete(was, at), new[feature == f]]) for was, new in zip(pieces[f], found, strict=True)]
+            order = np.argsort(merged[0])
+            pieces[f] = tuple(x[order] for x in merged)
+    return [_cuts_between(from_keys(low), _wanted(low, high, n, max_bins)) for low, high, n in pieces]
 
 
 class LeafTreesForecaster:
@@ -451,7 +549,7 @@ class LeafTreesForecaster:
         counts = data.agg(F.count_if(~F.col("is_validation")).alias("n"), F.count("*").alias("all")).first()
         if not counts["n"]:
             return LeafTreesModel(names, float(data.agg(F.avg("y")).first()[0] or 0.0), [], 0, [], 0, self.name)
-        cuts = [cut_points(x, p.max_bins) for x in sampled(data.where(~F.col("is_validation")), columns, p.bin_sample_rows, counts["n"])]
+        cuts = all_cut_points(data.where(~F.col("is_validation")), columns, p.bin_sample_rows, counts["n"], p.max_bins)
         tasks = max(1, min(p.max_tasks, spark.sparkContext.defaultParallelism, -(-counts["all"] // p.rows_per_task)))
         nodes: list[list[dict]] = []
         start, losses, keep, stopped, fitted = 0.0, [], 0, False, 0

@@ -265,3 +265,33 @@ def test_a_shared_folder_that_arrow_cannot_open_leaves_the_barrier(spark):
         yield pa.RecordBatch.from_pydict({"total": [float(sum(gather(np.array([2.0])))[0])]})
 
     assert [r[0] for r in rows.mapInArrow(run, "total double", barrier=True).collect()] == [4.0, 4.0]
+
+
+def test_cut_points_come_from_all_rows_where_the_driver_cannot_take_them(spark):
+    n, rng = 6_000, np.random.default_rng(5)
+    cents = rng.integers(-300_000, 300_000, n) / 100
+    x = [
+        rng.normal(size=n) * 10.0 ** rng.integers(-8, 9, n),
+        np.where(np.arange(n) % 7 < 4, 0.0, np.nextafter(cents, np.where(rng.random(n) < 0.5, np.inf, 0.0))),
+        np.r_[np.full(n - 3, -0.0), 0.0, 4.5, -1e300],  # values of one row each
+        rng.integers(0, 255, n).astype(float),
+        rng.integers(0, 256, n) / 3,
+        np.full(n, 7.25),
+    ]
+    columns = [f"x{i}" for i in range(len(x))]
+    df = spark.createDataFrame([tuple(float(v[i]) for v in x) for i in range(n)], ", ".join(f"{c} double" for c in columns)).repartition(5)
+    for rows in (1, 400, 20_000):
+        for bins in (255, 16):
+            got = bo.all_cut_points(df, columns, rows, n, bins)
+            for own, v in zip(got, x, strict=True):
+                np.testing.assert_array_equal(own, bo.cut_points(v, bins))
+
+
+def test_a_fit_on_more_rows_than_the_driver_takes_misses_no_value(spark):
+    """One row in two hundred has a value that a sample can miss; the split there is the best."""
+    rows = [(i % 40, i // 40, float(i % 200 == 0), 50_000.0 if i % 200 == 0 else float(i % 3)) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "Store long, week int, rare double, Weekly_Sales double")
+    df = df.withColumn("Date", F.date_add(F.lit("2015-01-05").cast("date"), F.col("week") * 7)).drop("week")
+    p = dict(n_estimators=2, num_leaves=2, learning_rate=0.5)
+    some, every = (LeafTreesForecaster(LeafTreeParams(**p, bin_sample_rows=k), ["rare"]).fit(df) for k in (10, 100_000))
+    assert _trees(some) == _trees(every) and (0, 0, 0, 0.5) in _trees(some)
