@@ -1,8 +1,9 @@
 """Gradient-boosted trees grown leaf by leaf, as one barrier job.
 
-Rows are binned by global cut points, which come from all training rows. The tasks of a barrier stage keep their
-binned rows in memory and grow every tree together: each adds up histograms
-of its own rows (residual sums and counts by feature and bin), the tasks swap
+Rows are binned by global cut points, which come from all training rows, and
+packed by the thousand before they go to the tasks. The tasks of a barrier
+stage grow every tree together: each adds up histograms of its own rows
+(residual sums and counts by feature and bin), the tasks swap
 them through files in the shared folder, and all find the same best splits
 from the sums. (``BarrierTaskContext.allGather`` takes about a second a swap,
 whatever its size; it is used once, to agree on a folder, and throughout where
@@ -12,6 +13,10 @@ its parent less that. The leaf with the best gain is split next, up to
 all leaves that may still be chosen are added up in one swap, so a tree costs
 about as many swaps as it is deep.
 
+A task keeps its rows in files of its scratch folder (about 42 bytes a row at
+16 features) and goes over them block by block, once for each swap, so its
+memory does not grow with its rows.
+
 All sums are exact: residuals are rounded to a fixed step, and their sums stay
 below 2**53. So the trees depend on the rows alone, not on how they are dealt.
 
@@ -29,7 +34,9 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import sys
+import tempfile
 import time
 import uuid
 import zlib
@@ -39,14 +46,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark import BarrierTaskContext, cloudpickle
+from pyspark import BarrierTaskContext, TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TREE_FEATURES, TREES_NAME, LeafTreeParams
 from ..functions.formatting import prediction_column_name
 from ..functions.nulls import clip_negative, fill_zero
-from ..session import fresh_path, materialize, table_scope
+from ..session import fresh_path, materialize, shuffles_dropped, table_scope
 from .split import validation_flag
 
 # The functions that run in tasks travel with them: executors need not have
@@ -54,11 +61,12 @@ from .split import validation_flag
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_SCHEMA = "tree int, node int, left int, right int, feature int, bin int, threshold double, gain double, n_rows long, value double, loss double"
+PACKED_SCHEMA = "task int, is_validation boolean, bins binary, y binary"
 Gather = Callable[[np.ndarray], list[np.ndarray]]
 #: Residuals may grow to this many times the first largest one before they are clipped.
 HEADROOM = 8.0
-#: Rows that a task holds at once.
-BLOCK_ROWS = 1 << 17
+#: Rows that a task holds at once, and rows packed into one record at most.
+BLOCK_ROWS, PACKED_ROWS = 1 << 16, 8_192
 #: Ranges of a feature's values that one pass counts, and the largest key of a double.
 RANGES, LAST_KEY = 8_192, np.int64(2**63 - 1)
 
@@ -112,13 +120,14 @@ def step_for(count: float, largest: float) -> float:
     return 2.0 ** np.floor(52 - np.log2(max(1.0, count) * max(largest, 1e-300)))
 
 
-def histogram(bins: np.ndarray, rows: np.ndarray | None, q: np.ndarray, features: np.ndarray, width: int) -> np.ndarray:
-    """(2, features, width): sums of ``q`` and counts by bin, of some or all rows."""
-    out, w = np.empty((2, len(features), width)), q if rows is None else q[rows]
+def histogram(bins: np.ndarray, q: np.ndarray, features: np.ndarray, width: int, at: np.ndarray, place: np.ndarray, places: int) -> np.ndarray:
+    """(places, 2, features, width): sums of ``q`` and counts by bin, of the
+    rows ``at``, each of which belongs to a place."""
+    out, w, base = np.empty((places, 2, len(features), width)), q.take(at), place * width
     for i, f in enumerate(features):
-        b = (bins[f] if rows is None else bins[f][rows]).astype(np.intp)
-        out[0, i] = np.bincount(b, weights=w, minlength=width)
-        out[1, i] = np.bincount(b, minlength=width)
+        b = base + bins[f].take(at)
+        out[:, 0, i] = np.bincount(b, weights=w, minlength=places * width).reshape(places, width)
+        out[:, 1, i] = np.bincount(b, minlength=places * width).reshape(places, width)
     return out
 
 
@@ -136,13 +145,93 @@ def best_split(hist: np.ndarray, least: int) -> tuple[float, int, int] | None:
 
 
 class _Node:
-    def __init__(self, path: tuple[int, ...], rows: np.ndarray, hist: np.ndarray, least: int):
-        self.path, self.rows, self.hist = path, rows, hist
+    def __init__(self, path: tuple[int, ...], label: int, hist: np.ndarray, least: int):
+        self.path, self.label, self.hist = path, label, hist
         self.total, self.n = (float(x) for x in hist[:, 0].sum(1))
         self.split = best_split(hist, least)
         self.kids: tuple[_Node, _Node] | None = None
 
 
+class _Blocks:
+    """Rows of a task in blocks, in files of its scratch folder: bins, target,
+    margin, rounded residual, and the label of the node that holds the row."""
+
+    def __init__(self, features: int, leaves: int):
+        folders = [x for x in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(x)]
+        folder = folders[os.getpid() % len(folders)] if folders else None
+        labels = np.uint16 if 2 * leaves * leaves < 2**16 else np.uint32
+        self.kinds = {"bins": (np.uint8, features), "y": (np.float64, 1), "margin": (np.float64, 1), "q": (np.float64, 1), "label": (labels, 1)}
+        # without names, so they go with the task however it ends
+        self.files = {kind: tempfile.TemporaryFile(dir=folder, buffering=0) for kind in self.kinds}
+        self.starts, self.held, self.waiting = [0], [], 0
+        self.room = {kind: np.empty(0, dtype) for kind, (dtype, _) in self.kinds.items()}
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def add(self, bins: np.ndarray, y: np.ndarray) -> None:
+        self.held.append((bins, y))
+        self.waiting += len(y)
+        if self.waiting >= BLOCK_ROWS:
+            self.end_block()
+
+    def end_block(self) -> None:
+        if self.waiting:
+            self.starts.append(self.starts[-1] + self.waiting)
+            for kind, parts in zip(("bins", "y"), zip(*self.held, strict=True), strict=True):
+                self.put(kind, len(self) - 1, np.concatenate(parts, axis=-1))
+            self.held, self.waiting = [], 0
+
+    def _at(self, kind: str, i: int) -> int:
+        dtype, each = self.kinds[kind]
+        return self.starts[i] * each * np.dtype(dtype).itemsize
+
+    def get(self, kind: str, i: int) -> np.ndarray:
+        """Block ``i``, in memory that the next block of its kind takes over."""
+        dtype, each = self.kinds[kind]
+        n, f = self.starts[i + 1] - self.starts[i], self.files[kind]
+        if len(self.room[kind]) < each * n:
+            self.room[kind] = np.empty(each * n, dtype)
+        out = self.room[kind][: each * n]
+        f.seek(self._at(kind, i))
+        if f.readinto(out) != out.nbytes:
+            raise OSError("the task's scratch file ends early")
+        return out.reshape(each, n) if kind == "bins" else out
+
+    def put(self, kind: str, i: int, values: np.ndarray) -> None:
+        dtype, f = self.kinds[kind][0], self.files[kind]
+        left = memoryview(np.ascontiguousarray(values, dtype).reshape(-1)).cast("B")
+        f.seek(self._at(kind, i))
+        while left:
+            left = left[f.write(left):]
+
+    def close(self) -> None:
+        for f in self.files.values():
+            f.close()
+
+    def part(self, todo: list[_Node], labels: int, small: Sequence[int], features: np.ndarray, width: int) -> np.ndarray:
+        """Gives the rows of the nodes the labels of their kids, which begin
+        at ``labels``; the histograms of each node's kid ``small``."""
+        dtype, mine = self.kinds["label"][0], [x.label for x in todo]
+        feature, last, kid, side, place = (np.zeros(labels, kind) for kind in (np.int64, np.uint8, dtype, bool, np.int64))
+        feature[:] = -1
+        feature[mine], last[mine] = features[[x.split[1] for x in todo]], [x.split[2] for x in todo]
+        kid[mine], side[mine], place[mine] = labels + 2 * np.arange(len(todo)), small, np.arange(len(todo))
+        out = np.zeros((len(todo), 2, len(features), width))
+        for i in range(len(self)):
+            label = self.get("label", i)
+            at = np.flatnonzero((feature >= 0).take(label))
+            if not len(at):
+                continue
+            bins, was = self.get("bins", i), label.take(at).astype(np.intp)
+            right = bins.ravel().take(feature.take(was) * len(label) + at) > last.take(was)
+            label[at] = kid.take(was) + right
+            self.put("label", i, label)
+            own = np.flatnonzero(right == side.take(was))
+            out += histogram(bins, self.get("q", i), features, width, at.take(own), place.take(was.take(own)), len(todo))
+        return out
+
+
 def _chosen(root: _Node, leaves: int) -> tuple[list[_Node], list[_Node]]:
     """The nodes that best-first growth splits, in order, as far as known; and
     the leaves that must be split before it can be said how it goes on (all
@@ -159,35 +248,33 @@ def _chosen(root: _Node, leaves: int) -> tuple[list[_Node], list[_Node]]:
     return out, []
 
 
-def grow(bins: np.ndarray, q: np.ndarray, root_hist: np.ndarray, features: np.ndarray, leaves: int, least: int, max_depth: int, gather: Gather) -> list[_Node]:
-    """The nodes that are split, best first; their kids hang on them."""
-    width = root_hist.shape[2]
-    root = _Node((), np.arange(bins.shape[1]), root_hist, least)
+def grow(blocks: _Blocks, root_hist: np.ndarray, features: np.ndarray, leaves: int, least: int, max_depth: int, gather: Gather) -> tuple[list[_Node], int]:
+    """The nodes that are split, best first, with their kids on them; and how
+    many labels the rows have. All rows begin with label 0."""
+    root, labels = _Node((), 0, root_hist, least), 1
     while True:
         out, todo = _chosen(root, leaves)
         if not todo:
-            return out
-        parts, small = [], []
+            return out, labels
+        small = []
         for node in todo:
             _, f, b = node.split
-            left = bins[features[f]][node.rows] <= b
-            parts.append((node.rows[left], node.rows[~left]))
             n_left = node.hist[1, f, : b + 1].sum()
             small.append(0 if 2 * n_left <= node.n else 1)
-        own = np.stack([histogram(bins, p[s], q, features, width) for p, s in zip(parts, small, strict=True)])
-        for node, p, s, h in zip(todo, parts, small, sum(gather(own)), strict=True):
+        own = blocks.part(todo, labels, small, features, root_hist.shape[2])
+        for node, s, h in zip(todo, small, sum(gather(own)), strict=True):
             hists = (h, node.hist - h) if s == 0 else (node.hist - h, h)
-            node.kids = tuple(_Node((*node.path, i), p[i], hists[i], least) for i in (0, 1))
-            node.hist = None
+            node.kids = tuple(_Node((*node.path, i), labels + i, hists[i], least) for i in (0, 1))
+            node.hist, labels = None, labels + 2
             if max_depth > 0 and len(node.path) + 1 >= max_depth:
                 for kid in node.kids:
                     kid.split = None
 
 
-def tree_rows(split: list[_Node], features: np.ndarray, cuts: Sequence[np.ndarray], step: float, rate: float, margin: np.ndarray) -> list[dict]:
-    """The tree's nodes in the order in which growth makes them; the leaves'
-    values are added to the margins of their rows."""
-    number, rows = {(): 0}, []
+def tree_rows(split: list[_Node], labels: int, features: np.ndarray, cuts: Sequence[np.ndarray], step: float, rate: float) -> tuple[list[dict], np.ndarray]:
+    """The tree's nodes in the order in which growth makes them, and the value
+    of a row by its label (leaves that growth parted ahead keep theirs)."""
+    number, rows, values = {(): 0}, [], np.zeros(labels)
     for node in split:
         for kid in node.kids:
             number[kid.path] = len(number)
@@ -200,9 +287,13 @@ def tree_rows(split: list[_Node], features: np.ndarray, cuts: Sequence[np.ndarra
             f = int(features[f])
             row |= {"left": number[(*path, 0)], "right": number[(*path, 1)], "feature": f, "bin": b, "threshold": float(cuts[f][b]), "gain": gain / step / step}
         else:
-            margin[node.rows] += row["value"]
+            below = [node]
+            while below:
+                x = below.pop()
+                values[x.label] = row["value"]
+                below += x.kids or ()
         rows.append(row)
-    return rows
+    return rows, values
 
 
 def add_tree(margin: np.ndarray, bins: np.ndarray, nodes: Sequence[dict]) -> None:
@@ -224,50 +315,88 @@ def drawn_features(count: int, share: float, seed: int, tree: int) -> np.ndarray
 
 
 def boost(bins: np.ndarray, y: np.ndarray, is_val: np.ndarray, cuts: Sequence[np.ndarray], before: Sequence[Sequence[dict]], losses: Sequence[float], until: int, p: LeafTreeParams, gather: Gather) -> Iterator[list[dict]]:
+    """``boost_blocks`` over rows in memory."""
+    train, val = _Blocks(len(bins), p.num_leaves), _Blocks(len(bins), p.num_leaves)
+    for blocks, own in ((train, ~is_val), (val, is_val)):
+        blocks.add(bins[:, own], y[own])
+    yield from boost_blocks(train, val, cuts, before, losses, until, p, gather)
+
+
+def boost_blocks(train: _Blocks, val: _Blocks, cuts: Sequence[np.ndarray], before: Sequence[Sequence[dict]], losses: Sequence[float], until: int, p: LeafTreeParams, gather: Gather) -> Iterator[list[dict]]:
     """Trees number ``len(before)`` up to ``until``, each as rows; every task
     of a fit calls this with its own rows and gets the same trees. The first
     row of a tree carries the validation loss with it."""
-    train, val = np.flatnonzero(~is_val), np.flatnonzero(is_val)
-    bins_t, bins_v = bins[:, train], bins[:, val]
-    y_t, y_v = y[train], y[val]
-    local = np.array([len(y_t), len(y_v), np.abs(y_t).max(initial=0.0)])
-    seen = np.stack(gather(local))
+    for blocks in (train, val):
+        blocks.end_block()
+    largest = max((np.abs(train.get("y", i)).max() for i in range(len(train))), default=0.0)
+    seen = np.stack(gather(np.array([train.starts[-1], val.starts[-1], largest])))
     n, n_val, largest = seen[:, 0].sum(), seen[:, 1].sum(), seen[:, 2].max()
     if not n:
         return
     step = step_for(n, largest)
-    start = float(sum(gather(np.array([np.rint(y_t * step).sum()])))[0] / step / n)
-    apart = max(float(x[0]) for x in gather(np.array([np.abs(np.concatenate([y_t, y_v]) - start).max(initial=0.0)])))
+    own = sum((np.rint(train.get("y", i) * step).sum() for i in range(len(train))), 0.0)
+    start = float(sum(gather(np.array([own])))[0] / step / n)
+    apart = max((np.abs(x.get("y", i) - start).max() for x in (train, val) for i in range(len(x))), default=0.0)
+    apart = max(float(x[0]) for x in gather(np.array([apart])))
     if not before:
         yield [{"node": 0, "left": -1, "right": -1, "feature": -1, "bin": -1, "threshold": None, "gain": 0.0, "n_rows": int(n), "value": start, "loss": None}]
     step, loss_step = step_for(n, HEADROOM * apart), step_for(n_val, (HEADROOM * apart) ** 2)
-    margin_t, margin_v = np.full(len(y_t), start), np.full(len(y_v), start)
-    for nodes in before:
-        add_tree(margin_t, bins_t, nodes)
-        add_tree(margin_v, bins_v, nodes)
     losses, width, rounds = list(losses), 1 + max(len(c) for c in cuts), len(before)
+    counts = np.zeros((len(cuts), width))
+    for blocks in (train, val):
+        for i in range(len(blocks)):
+            bins = blocks.get("bins", i)
+            margin = np.full(bins.shape[1], start)
+            for nodes in before:
+                add_tree(margin, bins, nodes)
+            blocks.put("margin", i, margin)
+            if blocks is train:
+                counts += [np.bincount(b, minlength=width) for b in bins]
     waiting: list[dict] | None = None
-
-    def own_loss() -> np.ndarray:
-        return np.array([np.rint(np.minimum((y_v - margin_v) ** 2, (HEADROOM * apart) ** 2) * loss_step).sum()])
+    values = np.zeros(1)
+
+    def own_loss() -> float:
+        total = 0.0
+        for i in range(len(val)):
+            margin = val.get("margin", i)
+            if waiting is not None:
+                add_tree(margin, val.get("bins", i), waiting)
+                val.put("margin", i, margin)
+            total += np.rint(np.minimum((val.get("y", i) - margin) ** 2, (HEADROOM * apart) ** 2) * loss_step).sum()
+        return total
+
+    def own_sums(features: np.ndarray) -> np.ndarray:
+        """The last tree goes into the margins; histograms of the residuals."""
+        out = np.zeros((2, len(features), width))
+        out[1] = counts[features]
+        for i in range(len(train)):
+            margin = train.get("margin", i)
+            if waiting is not None:
+                margin += values[train.get("label", i)]
+                train.put("margin", i, margin)
+            q = np.rint(np.clip(train.get("y", i) - margin, -HEADROOM * apart, HEADROOM * apart) * step)
+            train.put("q", i, q)
+            train.put("label", i, np.zeros(len(q)))
+            bins = train.get("bins", i)
+            for k, f in enumerate(features):
+                out[0, k] += np.bincount(bins[f], weights=q, minlength=width)
+        return out
 
     while True:
         last = rounds >= until
-        features = drawn_features(len(bins), p.colsample_bytree, p.seed, rounds)
-        q = np.rint(np.clip(y_t - margin_t, -HEADROOM * apart, HEADROOM * apart) * step)
-        own = np.empty(0) if last else histogram(bins_t, None, q, features, width).ravel()
-        total = sum(gather(np.concatenate([own_loss(), own])))
+        features = drawn_features(len(cuts), p.colsample_bytree, p.seed, rounds)
+        loss, own = own_loss(), np.empty(0) if last else own_sums(features).ravel()
+        total = sum(gather(np.concatenate([[loss], own])))
         if waiting is not None:
             losses.append(total[0] / loss_step / max(n_val, 1))
             waiting[0]["loss"] = losses[-1]
             yield waiting
         if last or (n_val and early_stop(losses, p.early_stopping_rounds)[1]):
             return
-        split = grow(bins_t, q, total[1:].reshape(2, len(features), width), features, p.num_leaves, p.min_child_samples, p.max_depth, gather)
+        split, labels = grow(train, total[1:].reshape(2, len(features), width), features, p.num_leaves, p.min_child_samples, p.max_depth, gather)
         if not split:
             return
-        waiting = tree_rows(split, features, cuts, step, p.learning_rate, margin_t)
-        add_tree(margin_v, bins_v, waiting)
+        waiting, values = tree_rows(split, labels, features, cuts, step, p.learning_rate)
         rounds += 1
 
 
@@ -327,32 +456,55 @@ def _gather_among(context: BarrierTaskContext, tasks: int, shared: str) -> Gathe
     return _gather_by_files(files, said[0], context.partitionId(), tasks)
 
 
-def fit_job(data: DataFrame, features: int, cuts: Sequence[np.ndarray], tasks: int, before: Sequence[Sequence[dict]], losses: Sequence[float], until: int, p: LeafTreeParams) -> DataFrame:
-    """One barrier job over ``data`` (x0, x1, ..., y, is_validation): the new
-    trees as rows of ``NODE_SCHEMA``. Tree -1 is the first margin."""
+def packed(data: DataFrame, cuts: Sequence[np.ndarray], tasks: int, rows: int) -> DataFrame:
+    """``data`` (x0, x1, ..., y, is_validation) as records of up to ``rows``
+    rows each, dealt to the tasks in turn."""
+    features = len(cuts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = [TaskContext.get().partitionId()] * 2
+        for b in batches:
+            bins = binned([b.column(i).to_numpy(zero_copy_only=False) for i in range(features)], cuts)
+            y, is_val = (b.column(features + i).to_numpy(zero_copy_only=False) for i in range(2))
+            out = []
+            for flag in (False, True):
+                at = np.flatnonzero(is_val.astype(bool) == flag)
+                for own in np.array_split(at, -(-len(at) // rows)) if len(at) else ():
+                    out.append((dealt[flag] % tasks, flag, bins[:, own].tobytes(), y[own].astype(np.float64).tobytes()))
+                    dealt[flag] += 1
+            kinds = {"task": pa.int32(), "is_validation": pa.bool_(), "bins": pa.binary(), "y": pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds.values())], [*kinds])
+
+    return data.mapInArrow(run, PACKED_SCHEMA)
+
+
+def fit_job(data: DataFrame, cuts: Sequence[np.ndarray], tasks: int, before: Sequence[Sequence[dict]], losses: Sequence[float], until: int, p: LeafTreeParams) -> DataFrame:
+    """One barrier job over ``packed`` rows: the new trees as rows of
+    ``NODE_SCHEMA``. Tree -1 is the first margin."""
     settings = {f: getattr(p, f) for f in p.__dataclass_fields__}
-    first, shared = len(before), fresh_path(data.sparkSession, "swaps")
+    features, first, shared = len(cuts), len(before), fresh_path(data.sparkSession, "swaps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from types import SimpleNamespace
 
-        bins, y, is_val = [np.empty((features, 0), np.uint8)], [np.empty(0)], [np.empty(0, bool)]
+        train, val = _Blocks(features, settings["num_leaves"]), _Blocks(features, settings["num_leaves"])
         for b in batches:
-            bins.append(binned([b.column(i).to_numpy(zero_copy_only=False) for i in range(features)], cuts))
-            y.append(b.column(features).to_numpy(zero_copy_only=False))
-            is_val.append(b.column(features + 1).to_numpy(zero_copy_only=False).astype(bool))
+            for is_val, bins, y in zip(*(b.column(i) for i in (1, 2, 3)), strict=True):
+                (val if is_val.as_py() else train).add(np.frombuffer(bins.as_buffer(), np.uint8).reshape(features, -1), np.frombuffer(y.as_buffer()))
         context = BarrierTaskContext.get()
         gather = _gather_among(context, tasks, shared) if tasks > 1 else lambda own: [own]
         number = first - (0 if first else 1)
         names = [x.split(" ")[0] for x in NODE_SCHEMA.split(", ")]
-        for nodes in boost(np.concatenate(bins, axis=1), np.concatenate(y), np.concatenate(is_val), cuts, before, losses, until, SimpleNamespace(**settings), gather):
+        for nodes in boost_blocks(train, val, cuts, before, losses, until, SimpleNamespace(**settings), gather):
             if context.partitionId() == 0:
                 rows = [x | {"tree": number, "loss": x.get("loss")} for x in nodes]
                 kinds = (pa.int32(),) * 6 + (pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in zip(names, kinds, strict=True)], names)
             number += 1
+        train.close()
+        val.close()
 
-    return data.repartition(tasks).mapInArrow(run, NODE_SCHEMA, barrier=True)
+    return data.repartitionById(tasks, "task").mapInArrow(run, NODE_SCHEMA, barrier=True)
 
 
 @dataclass
@@ -545,18 +697,25 @@ class LeafTreesForecaster:
         flagged = validation_flag(train, p.validation_fraction, p.validation_mode)
         columns = [f"x{i}" for i in range(len(names))]
         rows = flagged.where(F.col(self.target).isNotNull()).select(*[fill_zero(c).alias(x) for c, x in zip(names, columns, strict=True)], F.col(self.target).cast("double").alias("y"), "is_validation")
-        data = materialize(rows, "tree-rows")
-        counts = data.agg(F.count_if(~F.col("is_validation")).alias("n"), F.count("*").alias("all")).first()
-        if not counts["n"]:
-            return LeafTreesModel(names, float(data.agg(F.avg("y")).first()[0] or 0.0), [], 0, [], 0, self.name)
-        cuts = all_cut_points(data.where(~F.col("is_validation")), columns, p.bin_sample_rows, counts["n"], p.max_bins)
-        tasks = max(1, min(p.max_tasks, spark.sparkContext.defaultParallelism, -(-counts["all"] // p.rows_per_task)))
+        path = fresh_path(spark, "tree-bins")
+        with table_scope(spark):  # the rows go once they are packed
+            data = materialize(rows, "tree-rows")
+            counts = data.agg(F.count_if(~F.col("is_validation")).alias("n"), F.count("*").alias("all")).first()
+            if not counts["n"]:
+                return LeafTreesModel(names, float(data.agg(F.avg("y")).first()[0] or 0.0), [], 0, [], 0, self.name)
+            cuts = all_cut_points(data.where(~F.col("is_validation")), columns, p.bin_sample_rows, counts["n"], p.max_bins)
+            tasks = max(1, min(p.max_tasks, spark.sparkContext.defaultParallelism, -(-counts["all"] // p.rows_per_task)))
+            each = max(256, min(PACKED_ROWS, counts["all"] // (16 * tasks)))
+            # small row groups: a reader holds one at a time
+            packed(data, cuts, tasks, each).write.option("parquet.block.size", 16 << 20).parquet(path)
+        dealt = spark.read.schema(PACKED_SCHEMA).parquet(path)
         nodes: list[list[dict]] = []
         start, losses, keep, stopped, fitted = 0.0, [], 0, False, 0
         while not stopped and len(nodes) < p.n_estimators:
             until = min(p.n_estimators, len(nodes) + p.rounds_per_job)
             # as rows in the shared folder: bounded by rounds and leaves
-            done = materialize(fit_job(data, len(names), cuts, tasks, nodes, losses, until, p), "trees")
+            with shuffles_dropped(spark):
+                done = materialize(fit_job(dealt, cuts, tasks, nodes, losses, until, p), "trees")
             trees: dict[int, list[dict]] = {}
             for r in sorted((r.asDict() for r in done.collect()), key=lambda r: (r["tree"], r["node"])):
                 trees.setdefault(r["tree"], []).append(r)

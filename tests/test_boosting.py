@@ -295,3 +295,71 @@ def test_a_fit_on_more_rows_than_the_driver_takes_misses_no_value(spark):
     p = dict(n_estimators=2, num_leaves=2, learning_rate=0.5)
     some, every = (LeafTreesForecaster(LeafTreeParams(**p, bin_sample_rows=k), ["rare"]).fit(df) for k in (10, 100_000))
     assert _trees(some) == _trees(every) and (0, 0, 0, 0.5) in _trees(some)
+
+
+MEMORY_SCRIPT = """
+import os, threading, time
+from pyspark.sql import functions as F
+from demand_engine.config import LeafTreeParams
+from demand_engine.operators.boosting import LeafTreesForecaster
+from demand_engine.session import get_spark
+spark = get_spark("local[2]", shuffle_partitions=2)
+n = F.col("id")
+df = spark.range(2_000_000).select((n % 10_000).alias("Store"), F.date_add(F.lit("2020-01-06").cast("date"), (n / 10_000).cast("int") * 7).alias("Date"),
+    *[(F.xxhash64(n, F.lit(i)) % 1_000 / 8.0).alias(f"f{i}") for i in range(12)])
+df = df.withColumn("Weekly_Sales", 1000 + F.col("f0") * 3 + F.when(F.col("f1") > 5, F.col("f2")).otherwise(-F.col("f3")))
+most, go = [0], True
+
+def watch():
+    while go:
+        parent, size = {}, {}
+        for pid in filter(str.isdigit, os.listdir("/proc")):
+            try:
+                said = dict(x.split(":", 1) for x in open(f"/proc/{pid}/status").read().splitlines() if ":" in x)
+            except OSError:
+                continue
+            if said["Name"].strip().startswith("python"):
+                size[int(pid)] = int(said.get("VmRSS", "0 kB").split()[0]) // 1024
+            parent[int(pid)] = int(said["PPid"])
+        for pid in size:
+            up = pid
+            while up > 1 and up != os.getpid():
+                up = parent.get(up, 0)
+            if up == os.getpid() and pid != up:
+                most[0] = max(most[0], size[pid])
+        time.sleep(0.05)
+
+seen = threading.Thread(target=watch)
+seen.start()
+m = LeafTreesForecaster(LeafTreeParams(n_estimators=2, num_leaves=8, rows_per_task=5_000_000), [f"f{i}" for i in range(12)]).fit(df)
+go = False
+seen.join()
+print("RESULT", m.rounds_fitted, most[0])
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/status"), reason="memory is read from /proc")
+def test_a_task_holds_blocks_of_its_rows_only():
+    """Two million rows in one task, which took 584 MB when it held them (168 now)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", MEMORY_SCRIPT], env=os.environ | {"PYTHONPATH": root, "MALLOC_ARENA_MAX": "2"}, capture_output=True, text=True, timeout=600, cwd=root)
+    assert out.returncode == 0, out.stderr[-2000:]
+    rounds, most = (int(x) for x in out.stdout.split("RESULT ")[1].split())
+    assert rounds == 2 and most < 300
+
+
+def test_blocks_give_the_trees_of_rows_in_memory(monkeypatch):
+    x, y = _panel(3_000)
+    is_val = np.arange(3_000) % 10 == 0
+    p = LeafTreeParams(num_leaves=31, max_bins=20, learning_rate=0.3, colsample_bytree=0.7)
+    cuts = [bo.cut_points(v[~is_val], 20) for v in x]
+    bins = bo.binned(x, cuts)
+    whole = list(bo.boost(bins, y, is_val, cuts, [], [], 3, p, lambda own: [own]))
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 100)
+    train, val = bo._Blocks(4, 31), bo._Blocks(4, 31)
+    for a in range(0, 3_000, 37):
+        own = np.arange(a, min(a + 37, 3_000))
+        for blocks, rows in ((train, own[~is_val[own]]), (val, own[is_val[own]])):
+            blocks.add(bins[:, rows], y[rows])
+    assert list(bo.boost_blocks(train, val, cuts, [], [], 3, p, lambda own: [own])) == whole
+    assert len(train) > 20 and len(val) > 2 and train.starts[-1] == 2_700
